@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +23,8 @@ SCORED_SCHEMA = (
     "clarity double, informativeness double, reason string, _error string"
 )
 _ROW_BITS = 33
+# Listing and row metadata write the slashes after a scheme differently.
+_SCHEME = r"^([a-zA-Z][\w+.-]*:)/+"
 
 
 def strip_bom(df: DataFrame) -> DataFrame:
@@ -55,11 +58,12 @@ def read_csv(
     if not multi_line:
         raise ValueError("row order over split files is not defined; bring a key column")
     row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    files = sorted(raw.inputFiles())
-    numbered = raw.select("*", F.col("_metadata.file_path").alias("_file"), row.alias("_row"))
-    ranks = spark.createDataFrame(list(zip(files, range(len(files)))), "_file string, _rank bigint")
-    key = F.shiftleft(F.col("_rank"), _ROW_BITS) + F.col("_row")
-    return numbered.join(ranks, "_file").select(key.alias(order_key), *cells)
+    files = sorted({re.sub(_SCHEME, r"\1", f) for f in raw.inputFiles()})
+    ranks = spark.createDataFrame(list(enumerate(files)), "_rank bigint, _file string")
+    file = F.regexp_replace(F.col("_metadata.file_path"), _SCHEME, "$1").alias("_file")
+    ranked = raw.select("*", file, row.alias("_row")).join(ranks, "_file", "left")
+    rank = F.coalesce("_rank", F.raise_error(F.concat(F.lit("unlisted file "), "_file")))
+    return ranked.select((F.shiftleft(rank, _ROW_BITS) + F.col("_row")).alias(order_key), *cells)
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
