@@ -18,7 +18,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType
 
-from sftpipe.functions.text import SHINGLE_SIZE
+from sftpipe.functions.text import SHINGLE_SIZE, once
 
 PRIME = (1 << 31) - 1
 BASE = 1_000_003
@@ -83,7 +83,7 @@ def minhash_signature(c: Column, num_perm: int, k: int = SHINGLE_SIZE) -> Column
     def signatures(texts: pd.Series) -> pd.Series:
         return texts.map(sign, na_action="ignore")
 
-    return signatures(c)
+    return once(signatures)(c)
 
 
 def band_keys(c: Column, bands: int, rows: int, k: int = SHINGLE_SIZE) -> Column:
@@ -104,4 +104,4 @@ def band_keys(c: Column, bands: int, rows: int, k: int = SHINGLE_SIZE) -> Column
     def all_keys(texts: pd.Series) -> pd.Series:
         return texts.map(keys, na_action="ignore")
 
-    return all_keys(c)
+    return once(all_keys)(c)

@@ -32,9 +32,18 @@ def _nfkc(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: unicodedata.normalize("NFKC", t), na_action="ignore")
 
 
+def once(udf):
+    """Keep a filter on a Python result from being pushed below it.
+
+    Catalyst copies a deterministic Python function into every filter on its result
+    and so evaluates it again, often before a repartition.
+    """
+    return udf.asNondeterministic()
+
+
 def nfkc(c: Column | str) -> Column:
     """Unicode compatibility composition; null stays null."""
-    return _nfkc(_col(c))
+    return once(_nfkc)(_col(c))
 
 
 def remove_control(c: Column | str) -> Column:
@@ -65,7 +74,7 @@ def clean_text(c: Column | str) -> Column:
     anyway, and finishing the job in the same Arrow batch is measurably faster
     than two JVM regular expressions after it.
     """
-    return _clean(_col(c))
+    return once(_clean)(_col(c))
 
 
 def strip_unicode(c: Column | str) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sftpipe.operators.joins import HOT_FLOOR, HOT_SHARE, join_hot, without_keys
@@ -57,7 +57,8 @@ def near_dup_keys(
     buckets is dropped, and the rest go to the next round. The first undecided row
     is always decided, so the rounds end. Row pairs are never formed: each round is
     linear in the entries, minima are combined before they are shuffled, and
-    buckets with a large share of the rows are joined without moving their rows.
+    buckets with a large share of the rows are joined without moving their rows. The
+    only lists are the buckets of one row, at most one per band.
 
     Exact copies need no removal beforehand: a copy shares all buckets of the first
     one and is dropped with it or because of it. ``rows`` bounds the entries.
@@ -66,23 +67,35 @@ def near_dup_keys(
     def join(left: DataFrame, right: DataFrame, how: str, left_rows: int) -> DataFrame:
         return join_hot(left, right, "bucket", how, left_rows, hot_share, hot_floor)
 
+    def size(condition: Column) -> Column:
+        return F.sum(F.when(condition, F.size("buckets")))
+
     shared = shared_buckets(entries, key).select("bucket")
-    live, rows = write_counted(join(entries, shared, "left_semi", rows), "near-live")
+    live, rows = write_counted(
+        join(entries, shared, "left_semi", rows)
+        .groupBy(key)
+        .agg(F.collect_list("bucket").alias("buckets")),
+        "near-live",
+        size(F.lit(True)),
+    )
     dropped = live.select(key).limit(0)
+    undecided = F.col("kept").isNull()
     while rows:
-        firsts = live.groupBy("bucket").agg(F.min(key).alias(key))
-        wins = firsts.groupBy(key).agg(F.count("*").alias("wins"))
-        buckets = live.groupBy(key).agg(F.count("*").alias("buckets"))
-        kept = wins.join(buckets, key).filter("wins = buckets").select(key)
-        claimed = firsts.join(kept, key, "left_semi").withColumnRenamed(key, "kept_key")
+        live_entries = live.select(key, F.size("buckets").alias("n"), F.explode("buckets").alias("bucket"))
+        firsts = live_entries.groupBy("bucket").agg(
+            F.min(key).alias(key), F.min_by("n", key).alias("n")
+        )
+        wins = firsts.groupBy(key).agg(F.collect_list("bucket").alias("won"), F.min("n").alias("n"))
+        claimed = wins.filter(F.size("won") == F.col("n")).select(
+            F.col(key).alias("kept_key"), F.explode("won").alias("bucket")
+        )
         decided = (
-            join(live, claimed, "inner", rows)
+            join(live_entries.drop("n"), claimed, "inner", rows)
             .groupBy(key)
             .agg(F.bool_or(F.col("kept_key") == F.col(key)).alias("kept"))
         )
-        undecided = F.col("kept").isNull()
-        state, rows = write_counted(live.join(decided, key, "left"), "near-state", undecided)
-        dropped = dropped.unionByName(state.filter("NOT kept").select(key).distinct())
+        state, rows = write_counted(live.join(decided, key, "left"), "near-state", size(undecided))
+        dropped = dropped.unionByName(state.filter("NOT kept").select(key))
         live = state.filter(undecided).drop("kept")
     return dropped
 

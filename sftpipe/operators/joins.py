@@ -21,14 +21,19 @@ def at_most(df: DataFrame, rows: int) -> bool:
 
 
 def without_keys(
-    df: DataFrame, keys: DataFrame, on: str, broadcast_rows: int = BROADCAST_ROWS
+    df: DataFrame,
+    keys: DataFrame,
+    on: str,
+    rows: int | None = None,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Rows of ``df`` whose ``on`` is not in ``keys``; ``on`` is a short key, unique in ``df``.
 
-    A counted, small key set is broadcast and ``df`` is not moved. A larger one is
-    shuffled; the key side is hashed, so ``df`` is never sorted.
+    A small key set (``rows`` where the caller has counted it) is broadcast and
+    ``df`` is not moved. A larger one is shuffled; the key side is hashed, so ``df``
+    is never sorted.
     """
-    if at_most(keys, broadcast_rows):
+    if rows <= broadcast_rows if rows is not None else at_most(keys, broadcast_rows):
         return df.join(F.broadcast(keys), on, "left_anti")
     return df.join(keys.hint("shuffle_hash"), on, "left_anti")
 

@@ -14,7 +14,7 @@ from sftpipe.operators.dedup import bucket_rows, first_keys, near_dup_keys
 from sftpipe.operators.joins import without_keys
 from sftpipe.operators.quality import QualityRule, funnel, passes
 from sftpipe.operators.split import head
-from sftpipe.session import spread, write_counted, write_stage
+from sftpipe.session import spread, write_counted
 from sftpipe.sources.writers import write_jsonl, write_report
 
 
@@ -104,10 +104,13 @@ def build(raw: DataFrame, key: str, config: BuildConfig = BuildConfig()) -> Buil
     which moves no text as long as their number is small enough to broadcast.
     """
     working, rows = write_counted(working_table(raw, key, config), "working")
-    stages = write_stage(drop_stages(working, rows, key, config), "stages")
-    duplicates = stages.filter("drop_stage IN ('exact_dup', 'near_dup')").select(key)
+    is_duplicate = F.col("drop_stage").isin("exact_dup", "near_dup")
+    stages, duplicate_rows = write_counted(
+        drop_stages(working, rows, key, config), "stages", F.count_if(is_duplicate)
+    )
+    duplicates = stages.filter(is_duplicate).select(key)
     candidates = working.filter("NOT is_empty AND quality_ok").select(key, "question", "answer")
-    kept = without_keys(candidates, duplicates, key)
+    kept = without_keys(candidates, duplicates, key, duplicate_rows)
     return Build(stages, to_alpaca(kept, config.source, key), funnel(stages, config.near_dedup))
 
 

@@ -12,7 +12,7 @@ from sftpipe.functions.minhash import band_keys, band_shape, minhash_signature
 from sftpipe.operators import columns, dedup, ingest, judge, pages, quality, split, stats
 from sftpipe.plans import views
 from sftpipe.plans.build import Build, BuildConfig, build, clean_pairs, with_bands
-from sftpipe.session import spread
+from sftpipe.session import spread, write_stage
 from sftpipe.sources.tables import store_totals
 
 # The benchmark tables hold no Han text, so their script class is any letter.
@@ -37,6 +37,11 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(views.table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
 
 
+def _scored_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scored rows as a stored table, for statistics that read it more than once."""
+    return write_stage(views.scored_documents(spark, sf_dir), "scored")
+
+
 def _built(spark: SparkSession, sf_dir: str) -> Build:
     return build(views.documents_qa(spark, sf_dir), "doc_id", CONFIG)
 
@@ -192,7 +197,7 @@ def score_histogram(spark, sf_dir):
 
 @query
 def overall_histogram(spark, sf_dir):
-    return stats.overall_histogram(views.scored_documents(spark, sf_dir))
+    return stats.overall_histogram(_scored_table(spark, sf_dir))
 
 
 @query
@@ -209,12 +214,12 @@ def high_quality_share(spark, sf_dir):
 
 @query
 def question_length_histogram(spark, sf_dir):
-    return stats.length_histogram(views.scored_documents(spark, sf_dir), "instruction")
+    return stats.length_histogram(_scored_table(spark, sf_dir), "instruction")
 
 
 @query
 def answer_length_histogram(spark, sf_dir):
-    return stats.length_histogram(views.scored_documents(spark, sf_dir), "output")
+    return stats.length_histogram(_scored_table(spark, sf_dir), "output")
 
 
 @query
@@ -224,9 +229,7 @@ def mean_lengths(spark, sf_dir):
 
 @query
 def train_test_split(spark, sf_dir):
-    rows = columns.publish_fields(
-        stats.scored_ok(views.scored_documents(spark, sf_dir)), "doc_id"
-    )
+    rows = columns.publish_fields(stats.scored_ok(_scored_table(spark, sf_dir)), "doc_id")
     return split.train_test_split(rows, "doc_id", 50).select("doc_id", "instruction", "split")
 
 
@@ -277,22 +280,28 @@ def pages_todo(spark, sf_dir):
 
 
 def _parsed_quotes(spark, sf_dir):
-    return pages.parse_pages(spread(views.quote_pages(spark, sf_dir), "page_key"), "quotes")
+    parsed = pages.parse_pages(spread(views.quote_pages(spark, sf_dir), "page_key"), "quotes")
+    return write_stage(parsed, "parsed-pages")
 
 
-def _stored_quotes(spark, sf_dir):
+def _stored_quotes(spark, sf_dir, parsed):
     """What an earlier run stored: the records of the German pages."""
     german = views.table(spark, sf_dir, "documents").filter("lang = 'de'").select(
         F.col("doc_id").alias("page_key")
     )
-    old = pages.page_records(_parsed_quotes(spark, sf_dir)).join(german, "page_key", "left_semi")
+    old = pages.page_records(parsed).join(german, "page_key", "left_semi")
     return old.select(T.ingest_fingerprint("question", "answer").alias("content_hash")).distinct()
 
 
+def _inserted_quotes(spark, sf_dir, parsed):
+    return ingest.new_records(
+        pages.page_records(parsed), _stored_quotes(spark, sf_dir, parsed)
+    )
+
+
 @query
 def content_unique_insert(spark, sf_dir):
-    found = pages.page_records(_parsed_quotes(spark, sf_dir))
-    fresh = ingest.new_records(found, _stored_quotes(spark, sf_dir))
+    fresh = _inserted_quotes(spark, sf_dir, _parsed_quotes(spark, sf_dir))
     return fresh.select("page_key", "position", "content_hash", "question", "answer")
 
 
@@ -309,14 +318,13 @@ def dead_letters(spark, sf_dir):
 @query
 def ingest_summary(spark, sf_dir):
     parsed = _parsed_quotes(spark, sf_dir)
-    fresh = ingest.new_records(pages.page_records(parsed), _stored_quotes(spark, sf_dir))
-    return ingest.run_summary(parsed, fresh)
+    return ingest.run_summary(parsed, _inserted_quotes(spark, sf_dir, parsed))
 
 
 @query
 def ingest_totals(spark, sf_dir):
     parsed = _parsed_quotes(spark, sf_dir)
-    return store_totals(_stored_quotes(spark, sf_dir), ingest.dead_letter_rows(parsed))
+    return store_totals(_stored_quotes(spark, sf_dir, parsed), ingest.dead_letter_rows(parsed))
 
 
 @query

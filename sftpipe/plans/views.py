@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from sftpipe.operators.columns import to_alpaca
 from sftpipe.operators.judge import attach_scores, pick_responses
+from sftpipe.session import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,7 +22,7 @@ def documents_qa(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, question, answer): the text before and after its first full stop."""
     text = F.col("text")
     stop = F.locate(".", text)
-    return table(spark, sf_dir, "documents").select(
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id").select(
         "doc_id",
         F.when(stop > 0, F.substring(text, F.lit(1), stop - 1)).otherwise(text).alias("question"),
         F.when(stop > 0, F.substring(text, stop + 1, F.length(text))).otherwise("").alias("answer"),

@@ -58,15 +58,14 @@ def write_stage(df: DataFrame, name: str) -> DataFrame:
     return write_counted(df, name)[0]
 
 
-def write_counted(
-    df: DataFrame, name: str, where: Column | None = None
-) -> tuple[DataFrame, int]:
-    """``write_stage`` and the count of rows (``where``), observed by the same job."""
+def write_counted(df: DataFrame, name: str, count: Column | None = None) -> tuple[DataFrame, int]:
+    """``write_stage`` and an aggregate, by default the row count, observed by the same job."""
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
     seen = Observation()
-    df.observe(seen, F.count_if(F.lit(True) if where is None else where).alias("rows")).write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path), seen.get["rows"]
+    counted = F.count(F.lit(1)) if count is None else count
+    df.observe(seen, counted.alias("n")).write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), seen.get["n"] or 0
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
