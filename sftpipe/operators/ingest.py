@@ -6,25 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sftpipe.functions.text import ingest_fingerprint, prefix
-from sftpipe.operators.joins import BROADCAST_ROWS, at_most, join_hot
+from sftpipe.operators.joins import not_seen
 from sftpipe.operators.pages import ERROR_CHARS
 
 
 def unseen_pages(pages: DataFrame, visited: DataFrame) -> DataFrame:
-    """Pages whose url was never processed, with success or without.
-
-    Matched on a 16-byte digest of the url. A visited set counted small enough is
-    broadcast, so page text does not move; beyond that both sides are shuffled and a
-    url that many pages share is handled as a hot key.
-    """
-    digest = F.unhex(F.md5("url")).alias("url_digest")
-    seen = visited.select(digest).distinct()
-    keyed = pages.select("*", digest)
-    if at_most(visited, BROADCAST_ROWS):
-        todo = keyed.join(F.broadcast(seen), "url_digest", "left_anti")
-    else:
-        todo = join_hot(keyed, seen, "url_digest", "left_anti", rows=pages.count())
-    return todo.drop("url_digest")
+    """Pages whose url was never processed, with success or without."""
+    return not_seen(pages, "page_key", "url", visited)
 
 
 def new_records(found: DataFrame, stored: DataFrame) -> DataFrame:

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sftpipe.session import write_counted
+
 BROADCAST_ROWS = 500_000
 HOT_SHARE = 4096
 HOT_FLOOR = 200_000
@@ -20,6 +22,11 @@ def at_most(df: DataFrame, rows: int) -> bool:
     return df.limit(rows + 1).count() <= rows
 
 
+def _by_key(df, keys, on, how, rows, broadcast_rows):
+    small = at_most(keys, broadcast_rows) if rows is None else rows <= broadcast_rows
+    return df.join(F.broadcast(keys) if small else keys.hint("shuffle_hash"), on, how)
+
+
 def without_keys(
     df: DataFrame,
     keys: DataFrame,
@@ -33,9 +40,43 @@ def without_keys(
     ``df`` is not moved. A larger one is shuffled; the key side is hashed, so ``df``
     is never sorted.
     """
-    if rows <= broadcast_rows if rows is not None else at_most(keys, broadcast_rows):
-        return df.join(F.broadcast(keys), on, "left_anti")
-    return df.join(keys.hint("shuffle_hash"), on, "left_anti")
+    return _by_key(df, keys, on, "left_anti", rows, broadcast_rows)
+
+
+def with_keys(
+    df: DataFrame,
+    keys: DataFrame,
+    on: str,
+    rows: int | None = None,
+    broadcast_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """Rows of ``df`` whose ``on`` is in ``keys``, by the same rule."""
+    return _by_key(df, keys, on, "left_semi", rows, broadcast_rows)
+
+
+def not_seen(
+    df: DataFrame,
+    key: str,
+    value: str,
+    seen: DataFrame,
+    broadcast_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """Rows of ``df`` whose text ``value`` is not among those of ``seen``; ``key`` is unique.
+
+    Values are matched as 16-byte digests. Seen values counted to be few are
+    broadcast. Beyond that only (key, digest) is joined, with hot values handled, and
+    the open rows are fetched by their keys, so wide rows move only when both sets
+    are large.
+    """
+    digest = F.unhex(F.md5(F.col(value))).alias("_digest")
+    done = seen.select(digest)
+    if at_most(done, broadcast_rows):
+        keyed = df.select("*", digest)
+        return keyed.join(F.broadcast(done), "_digest", "left_anti").drop("_digest")
+    narrow = df.select(key, digest)
+    open_rows = join_hot(narrow, done.distinct(), "_digest", "left_anti", df.count())
+    todo, rows = write_counted(open_rows.select(key), "not-seen")
+    return with_keys(df, todo, key, rows, broadcast_rows)
 
 
 def hot_keys(

@@ -13,24 +13,18 @@ from sftpipe.functions.judge_json import (
     response_error,
     text_field,
 )
-from sftpipe.operators.joins import join_hot
+from sftpipe.operators.joins import not_seen
 
 RETRIES = 3
 RECORD_FIELDS = ("instruction", "input", "output", "source")
 
 
-def pending_records(records: DataFrame, scored: DataFrame) -> DataFrame:
+def pending_records(records: DataFrame, scored: DataFrame, key: str) -> DataFrame:
     """Records whose instruction has no error-free score yet.
 
-    The match is on a 16-byte digest, so long instructions are not shuffled, and
-    an instruction that many records share is handled as a hot key.
+    The instruction decides, so records that share one are done together.
     """
-    digest = F.unhex(F.md5("instruction")).alias("instruction_digest")
-    done = scored.filter("_error IS NULL").select(digest).distinct()
-    keyed = records.select("*", digest)
-    return join_hot(
-        keyed, done, "instruction_digest", "left_anti", rows=records.count()
-    ).drop("instruction_digest")
+    return not_seen(records, key, "instruction", scored.filter("_error IS NULL"))
 
 
 def judge_requests(records: DataFrame, *keep: str) -> DataFrame:

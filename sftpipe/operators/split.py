@@ -11,17 +11,40 @@ from pyspark.sql import functions as F
 
 SEED_ROWS = 20_000
 SPLIT_SEED = 42
+SORT_ROWS = 1_000_000
+_RANGES = 4096
 _PREFIX_CHARS = 4
 
 
+def _nth_key(keys: DataFrame, key: str, n: int) -> int | None:
+    """The ``n``-th smallest value of an integer key; None when there are fewer.
+
+    Counts over equal key ranges (at most 4096 rows) show which range holds it. That
+    range is split again until it has few enough rows to sort, so no task sees more
+    than that, however large the table or ``n`` is.
+    """
+    low, high, rows = keys.agg(F.min(key), F.max(key), F.count("*")).first()
+    if rows < n:
+        return None
+    while rows > SORT_ROWS and low < high:
+        width = (high - low) // _RANGES + 1
+        offset = F.col(key).cast("decimal(20,0)") - F.lit(low).cast("decimal(20,0)")
+        counts = keys.groupBy(F.floor(offset / width).cast("int").alias("range")).count()
+        for index, rows in counts.orderBy("range").collect():
+            if n <= rows:
+                break
+            n -= rows
+        low, high = low + index * width, min(low + (index + 1) * width - 1, high)
+        keys = keys.filter(F.col(key).between(low, high))
+    return keys.orderBy(key).limit(n).agg(F.max(key)).first()[0]
+
+
 def head(df: DataFrame, key: str, n: int | None) -> DataFrame:
-    """The first ``n`` rows by ``key``; 0 or None means all."""
+    """The first ``n`` rows by the unique integer ``key``; 0 or None means all."""
     if not n:
         return df
-    last = df.select(key).orderBy(key).limit(n).agg(F.max(key)).first()[0]
-    if last is None:
-        return df.limit(0)
-    return df.filter(F.col(key) <= F.lit(last))
+    last = _nth_key(df.select(key), key, n)
+    return df if last is None else df.filter(F.col(key) <= last)
 
 
 def seed_rows(df: DataFrame, key: str, limit: int | None = None) -> DataFrame:

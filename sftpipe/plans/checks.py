@@ -180,7 +180,7 @@ def judge_scores(spark, sf_dir):
 @query
 def score_resume(spark, sf_dir):
     pending = judge.pending_records(
-        views.document_records(spark, sf_dir), views.scored_documents(spark, sf_dir)
+        views.document_records(spark, sf_dir), views.scored_documents(spark, sf_dir), "doc_id"
     )
     return pending.select("doc_id", "instruction")
 

@@ -32,7 +32,7 @@ def score_requests(
     """(key, prompt) of what is still to score; ``scored`` None scores everything again."""
     todo = head(records, key, sample)
     if scored is not None:
-        todo = pending_records(todo, scored)
+        todo = pending_records(todo, scored, key)
     return judge_requests(todo, key)
 
 

@@ -19,6 +19,8 @@ RECOMMENDED_CONF = {
     "spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20),
 }
 
+SPLIT_BYTES = 128 << 20
+
 
 def get_spark(app_name: str = "sftpipe", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
@@ -69,12 +71,14 @@ def write_counted(df: DataFrame, name: str, count: Column | None = None) -> tupl
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Give CPU-heavy steps one partition per core when the scan has fewer.
+    """Give CPU-heavy steps one partition per core when the input is small.
 
-    A scan of a large input already has more splits than cores and is left
-    alone, so no text is shuffled there.
+    Judged by the optimizer's size estimate, so nothing runs. An input with a scan
+    split for at least half of the cores is left alone: no text is shuffled there.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size >= cores / 2 * SPLIT_BYTES:
         return df
     return df.repartition(cores, key)

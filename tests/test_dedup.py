@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sftpipe.operators import dedup
-from sftpipe.operators.joins import join_hot, without_keys
+from sftpipe.operators.joins import join_hot, not_seen, with_keys, without_keys
 
 
 def scan(entries):
@@ -88,3 +88,14 @@ def test_without_keys_broadcast_and_shuffle(spark, limit):
     plan = got._jdf.queryExecution().toString()
     assert ("BroadcastHashJoin" in plan) == (limit > 0)
     assert got.select(F.max("k")).first()[0] == 49
+    kept = with_keys(df, df.filter("k % 3 = 0"), "k", broadcast_rows=limit)
+    assert sorted(r.k for r in kept.collect()) == list(range(0, 50, 3))
+
+
+@pytest.mark.parametrize("limit", [0, 1000])
+def test_not_seen(spark, limit):
+    df = spark.createDataFrame([(k, f"u{k % 7}", "wide") for k in range(40)], "k int, u string, w string")
+    seen = spark.createDataFrame([("u1",), ("u1",), ("u5",), (None,)], "u string")
+    got = not_seen(df, "k", "u", seen, broadcast_rows=limit)
+    assert got.columns == df.columns
+    assert sorted(r.k for r in got.collect()) == [k for k in range(40) if k % 7 not in (1, 5)]

@@ -69,7 +69,7 @@ def test_pending_records(spark):
         [("done", None), ("failed", "E"), ("both", "E"), ("both", None)],
         "instruction string, _error string",
     )
-    assert sorted(r.k for r in pending_records(todo, past).collect()) == [1, 2]
+    assert sorted(r.k for r in pending_records(todo, past, "k").collect()) == [1, 2]
 
 
 def test_prompt(spark):

@@ -67,6 +67,16 @@ def test_head(spark, n):
     assert sorted(r.k for r in split.head(df, "k", n).collect()) == list(range(n or 100))[:100]
 
 
+@pytest.mark.parametrize("n", [1, 999, 5000, 9999, 10_000, 10_001])
+def test_head_narrows_key_ranges(spark, monkeypatch, n):
+    monkeypatch.setattr(split, "SORT_ROWS", 50)
+    rng = random.Random(n)
+    keys = [rng.randrange(7000, 2**62) * rng.choice([1, -1]) for _ in range(3000)] + list(range(7000))
+    keys[0], keys[1] = 2**63 - 1, -(2**63)
+    df = spark.createDataFrame([(k,) for k in keys], "k long")
+    assert sorted(r.k for r in split.head(df, "k", n).collect()) == sorted(keys)[:n]
+
+
 def test_head_of_nothing_and_seed_rows(spark):
     assert split.head(spark.range(0), "id", 3).count() == 0
     assert split.seed_rows(spark.range(30_000), "id", 0).count() == 20_000
