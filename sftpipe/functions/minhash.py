@@ -10,7 +10,7 @@ not grow with the length of a text.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -22,7 +22,7 @@ from sftpipe.functions.text import SHINGLE_SIZE, once
 
 PRIME = (1 << 31) - 1
 BASE = 1_000_003
-_BLOCK = 2048
+_BLOCK = 1 << 16
 
 
 def permutation_coefficients(num_perm: int) -> list[tuple[int, int]]:
@@ -48,8 +48,13 @@ def band_shape(threshold: float, num_perm: int = 64) -> tuple[int, int]:
     return shape
 
 
+def _code_points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le"), dtype="<u4")
+
+
 def _window_hashes(code_points: np.ndarray, k: int) -> np.ndarray:
     """Hash of every ``k``-window; of the whole text when it is shorter."""
+    code_points = code_points.astype(np.uint64)
     n = max(len(code_points) - k + 1, 1)
     prime, shift, base = np.uint64(PRIME), np.uint64(31), np.uint64(BASE)
     h = np.zeros(n, np.uint64)
@@ -60,19 +65,70 @@ def _window_hashes(code_points: np.ndarray, k: int) -> np.ndarray:
     return h % prime
 
 
-def _signer(num_perm: int, k: int) -> Callable[[str], np.ndarray]:
-    coefficients = np.array(permutation_coefficients(num_perm), dtype=np.uint64)
-    a, b = coefficients[:, :1], coefficients[:, 1:]
+def _batches(lengths: list[int], k: int) -> Iterator[list[int]]:
+    """Positions of texts with at least one window, in groups of about one block."""
+    group, size = [], 0
+    for i, n in enumerate(lengths):
+        if k <= n <= _BLOCK:
+            if size + n > _BLOCK:
+                yield group
+                group, size = [], 0
+            group.append(i)
+            size += n
+    if group:
+        yield group
+
+
+def _signer(num_perm: int, k: int) -> Callable[[list[str]], np.ndarray]:
+    """Function from texts to a (text, permutation) matrix of minima.
 
-    def signature(text: str) -> np.ndarray:
-        points = np.frombuffer(text.replace(" ", "").encode("utf-32-le"), dtype="<u4")
+    Short texts are hashed together, a block of characters at a time; the windows
+    that cross from one text to the next are masked out.
+    """
+    coefficients = permutation_coefficients(num_perm)
+
+    def minima(h: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        low = np.empty((len(starts), num_perm), np.uint64)
+        x = np.empty_like(h)
+        for i, (a, b) in enumerate(coefficients):
+            np.multiply(h, np.uint64(a), out=x)
+            x += np.uint64(b)
+            low[:, i] = np.minimum.reduceat(x, starts)
+        return low
+
+    def alone(text: str) -> np.ndarray:
+        points = _code_points(text)
         low = np.full(num_perm, np.iinfo(np.uint64).max, np.uint64)
         for start in range(0, max(len(points) - k + 1, 1), _BLOCK):
-            block = points[start : start + _BLOCK + k - 1].astype(np.uint64)
-            np.minimum(low, (a * _window_hashes(block, k) + b).min(axis=1), out=low)
+            h = _window_hashes(points[start : start + _BLOCK + k - 1], k)
+            np.minimum(low, minima(h, np.array([0]))[0], out=low)
+        return low
+
+    def sign(texts: list[str]) -> np.ndarray:
+        texts = [t.replace(" ", "") for t in texts]
+        lengths = [len(t) for t in texts]
+        low = np.empty((len(texts), num_perm), np.uint64)
+        for group in _batches(lengths, k):
+            sizes = np.array([lengths[i] for i in group])
+            h = _window_hashes(_code_points("".join(texts[i] for i in group)), k)
+            inside = np.ones(len(h), bool)
+            ends = np.cumsum(sizes)[:-1]
+            for j in range(1, k):
+                inside[ends - j] = False
+            windows = sizes - k + 1
+            low[group] = minima(h[inside], np.cumsum(windows) - windows)
+        for i, n in enumerate(lengths):
+            if not k <= n <= _BLOCK:
+                low[i] = alone(texts[i])
         return (low >> np.uint64(32)).astype(np.int64)
 
-    return signature
+    return sign
+
+
+def _present(texts: pd.Series, values: Callable[[list[str]], list]) -> pd.Series:
+    """``values`` of the texts that are not null; null for the others."""
+    known = iter(values([t for t in texts if isinstance(t, str)]))
+    return pd.Series([next(known) if isinstance(t, str) else None for t in texts], dtype=object)
 
 
 def minhash_signature(c: Column, num_perm: int, k: int = SHINGLE_SIZE) -> Column:
@@ -81,7 +137,7 @@ def minhash_signature(c: Column, num_perm: int, k: int = SHINGLE_SIZE) -> Column
 
     @F.pandas_udf(ArrayType(LongType()))
     def signatures(texts: pd.Series) -> pd.Series:
-        return texts.map(sign, na_action="ignore")
+        return _present(texts, lambda known: list(sign(known)))
 
     return once(signatures)(c)
 
@@ -93,15 +149,15 @@ def band_keys(c: Column, bands: int, rows: int, k: int = SHINGLE_SIZE) -> Column
     """
     sign = _signer(bands * rows, k)
 
-    def keys(text: str) -> list[bytes]:
-        minima = sign(text).reshape(bands, rows).tolist()
-        return [
-            hashlib.md5(",".join(map(str, [band, *low])).encode()).digest()
-            for band, low in enumerate(minima)
-        ]
+    def key(band: int, minima: list[int]) -> bytes:
+        return hashlib.md5(",".join(map(str, [band, *minima])).encode()).digest()
+
+    def keys(texts: list[str]) -> list[list[bytes]]:
+        minima = sign(texts).reshape(len(texts), bands, rows).tolist()
+        return [[key(band, low) for band, low in enumerate(text)] for text in minima]
 
     @F.pandas_udf(ArrayType(BinaryType()))
     def all_keys(texts: pd.Series) -> pd.Series:
-        return texts.map(keys, na_action="ignore")
+        return _present(texts, keys)
 
     return once(all_keys)(c)

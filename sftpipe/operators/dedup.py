@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sftpipe.operators.joins import HOT_FLOOR, HOT_SHARE, join_hot, without_keys
-from sftpipe.session import write_counted
+from sftpipe.session import write_counted, write_stage
 
 
 def first_keys(df: DataFrame, group: str | Sequence[str], key: str) -> DataFrame:
@@ -64,15 +64,17 @@ def near_dup_keys(
     one and is dropped with it or because of it. ``rows`` bounds the entries.
     """
 
-    def join(left: DataFrame, right: DataFrame, how: str, left_rows: int) -> DataFrame:
-        return join_hot(left, right, "bucket", how, left_rows, hot_share, hot_floor)
+    def join(left: DataFrame, right: DataFrame, how: str, left_rows: int, counts=None):
+        return join_hot(left, right, "bucket", how, left_rows, hot_share, hot_floor, counts)
 
     def size(condition: Column) -> Column:
         return F.sum(F.when(condition, F.size("buckets")))
 
-    shared = shared_buckets(entries, key).select("bucket")
+    shared = shared_buckets(entries, key).select("bucket", F.col("size").alias("count"))
+    if rows > hot_floor:
+        shared = write_stage(shared, "shared-buckets")
     live, rows = write_counted(
-        join(entries, shared, "left_semi", rows)
+        join(entries, shared.select("bucket"), "left_semi", rows, shared)
         .groupBy(key)
         .agg(F.collect_list("bucket").alias("buckets")),
         "near-live",

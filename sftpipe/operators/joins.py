@@ -80,13 +80,22 @@ def not_seen(
 
 
 def hot_keys(
-    df: DataFrame, on: str, rows: int, share: int = HOT_SHARE, floor: int = HOT_FLOOR
+    df: DataFrame,
+    on: str,
+    rows: int,
+    share: int = HOT_SHARE,
+    floor: int = HOT_FLOOR,
+    counts: DataFrame | None = None,
 ) -> DataFrame | None:
-    """Keys above the hot limit, or None. At most ``share`` rows reach the driver."""
+    """Keys above the hot limit, or None. At most ``share`` rows reach the driver.
+
+    ``counts`` (on, count) saves the counting where the caller has done it.
+    """
     limit = max(rows // share, floor)
     if rows <= limit:
         return None
-    found = df.groupBy(on).count().filter(F.col("count") > limit).select(on).collect()
+    counts = df.groupBy(on).count() if counts is None else counts
+    found = counts.filter(F.col("count") > limit).select(on).collect()
     if not found:
         return None
     return df.sparkSession.createDataFrame(found, df.select(on).schema)
@@ -100,6 +109,7 @@ def join_hot(
     rows: int,
     share: int = HOT_SHARE,
     floor: int = HOT_FLOOR,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Join where ``right`` has at most one row per key and ``left`` may be skewed.
 
@@ -107,7 +117,7 @@ def join_hot(
     rows of ``right`` by broadcast; all others are shuffled, and none of their keys
     exceeds the hot limit. ``rows`` is the row count of ``left``.
     """
-    hot = hot_keys(left, on, rows, share, floor)
+    hot = hot_keys(left, on, rows, share, floor, counts)
     if hot is None:
         return left.join(right, on, how)
     hot = F.broadcast(hot)
