@@ -180,7 +180,7 @@ def judge_scores(spark, sf_dir):
 @query
 def score_resume(spark, sf_dir):
     pending = judge.pending_records(
-        views.document_records(spark, sf_dir), views.scored_documents(spark, sf_dir), "doc_id"
+        views.document_records(spark, sf_dir), _scored_table(spark, sf_dir), "doc_id"
     )
     return pending.select("doc_id", "instruction")
 
@@ -258,7 +258,7 @@ def duplicate_rows(spark, sf_dir):
 
 @query
 def quote_page_records(spark, sf_dir):
-    parsed = pages.parse_pages(spread(views.quote_pages(spark, sf_dir), "page_key"), "quotes")
+    parsed = pages.parse_pages(views.quote_pages(spark, sf_dir), "quotes")
     return pages.page_records(parsed)
 
 
@@ -280,7 +280,7 @@ def pages_todo(spark, sf_dir):
 
 
 def _parsed_quotes(spark, sf_dir):
-    parsed = pages.parse_pages(spread(views.quote_pages(spark, sf_dir), "page_key"), "quotes")
+    parsed = pages.parse_pages(views.quote_pages(spark, sf_dir), "quotes")
     return write_stage(parsed, "parsed-pages")
 
 

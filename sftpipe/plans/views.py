@@ -11,21 +11,25 @@ from pyspark.sql import functions as F
 
 from sftpipe.operators.columns import to_alpaca
 from sftpipe.operators.judge import attach_scores, pick_responses
+from sftpipe.session import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def documents_qa(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(doc_id, question, answer): the text before and after its first full stop."""
+def _halves() -> tuple[Column, Column]:
+    """``text`` before and after its first full stop."""
     text = F.col("text")
     stop = F.locate(".", text)
-    return table(spark, sf_dir, "documents").select(
-        "doc_id",
-        F.when(stop > 0, F.substring(text, F.lit(1), stop - 1)).otherwise(text).alias("question"),
-        F.when(stop > 0, F.substring(text, stop + 1, F.length(text))).otherwise("").alias("answer"),
-    )
+    question = F.when(stop > 0, F.substring(text, F.lit(1), stop - 1)).otherwise(text)
+    answer = F.when(stop > 0, F.substring(text, stop + 1, F.length(text))).otherwise("")
+    return question.alias("question"), answer.alias("answer")
+
+
+def documents_qa(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, question, answer): the text before and after its first full stop."""
+    return table(spark, sf_dir, "documents").select("doc_id", *_halves())
 
 
 def conversations_qa(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,8 +122,9 @@ def _escaped(c: Column) -> Column:
 
 def quote_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(page_key, url, html): a quote page per document; Spanish ones lack a quote text."""
-    pairs = documents_qa(spark, sf_dir)
-    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source").join(pairs, "doc_id")
+    docs = spread(table(spark, sf_dir, "documents").drop("n_chars"), "doc_id").select(
+        "doc_id", "lang", "source", *_halves()
+    )
     html = F.concat(
         F.lit('<html><body><div class="quote big"><span class="text">'),
         _escaped(F.col("question")),
