@@ -22,7 +22,7 @@ def exact_dedup(df: DataFrame, fingerprint: str, key: str) -> DataFrame:
 
     Only (fingerprint, key) is grouped, so a fingerprint shared by a third of the
     rows shrinks to one row per task; full rows then move once, by the unique key,
-    and are not sorted.
+    and are not sorted. ``df`` is read twice: write it first if it is costly.
     """
     return df.join(
         first_keys(df, fingerprint, key).hint("shuffle_hash"), key, "left_semi"
@@ -103,9 +103,15 @@ def near_dup_keys(
 
 
 def near_dedup(df: DataFrame, key: str, bands: str = "bands") -> DataFrame:
-    """Rows of ``df`` that survive the first-wins scan in ``key`` order."""
-    entries = bucket_rows(df, key, bands)
-    return without_keys(df, near_dup_keys(entries, key, entries.count()), key)
+    """Rows of ``df`` that survive the first-wins scan in ``key`` order.
+
+    Keys and bands are written once, so the signature is not computed per round.
+    """
+    narrow, entries = write_counted(df.select(key, bands), "bands", F.sum(F.size(bands)))
+    dropped, rows = write_counted(
+        near_dup_keys(bucket_rows(narrow, key, bands), key, entries), "near-dropped"
+    )
+    return without_keys(df, dropped, key, rows)
 
 
 def duplicate_rows(df: DataFrame) -> DataFrame:

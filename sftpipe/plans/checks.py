@@ -71,7 +71,7 @@ def drop_empty_pairs(spark, sf_dir):
 def exact_dedup(spark, sf_dir):
     pairs = quality.drop_empty_pairs(_cleaned(spark, sf_dir))
     hashed = pairs.withColumn("fingerprint", T.pair_fingerprint("question", "answer"))
-    return dedup.exact_dedup(hashed, "fingerprint", "doc_id")
+    return dedup.exact_dedup(write_stage(hashed, "hashed"), "fingerprint", "doc_id")
 
 
 @query
@@ -127,8 +127,9 @@ def lsh_buckets(spark, sf_dir):
 
 @query
 def near_dedup(spark, sf_dir):
-    stages = _built(spark, sf_dir).stages
-    return stages.filter("drop_stage IN ('quality', 'kept')").select("doc_id")
+    pairs = quality.drop_empty_pairs(_cleaned(spark, sf_dir))
+    keyed = with_bands(pairs, CONFIG.threshold, CONFIG.num_perm)
+    return dedup.near_dedup(keyed.select("doc_id", "bands"), "doc_id").select("doc_id")
 
 
 @query

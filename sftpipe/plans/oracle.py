@@ -271,8 +271,8 @@ _ARTICLE = (
 
 def _markup_text(markup: str) -> str:
     text = rf"regexp_replace({markup}, '(\s*<[^>]*>\s*)+', '', 'g')"
-    for entity, char in (("&quot;", '"'), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
-        text = f"replace({text}, '{entity}', '{char}')"
+    for entity, char in (("quot", '"'), ("lt", "<"), ("gt", ">"), ("amp", "&")):
+        text = f"regexp_replace({text}, '&{entity};?', '{char}', 'g')"
     return f"trim({text}, {_STRIP})"
 
 
