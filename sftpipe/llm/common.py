@@ -53,3 +53,11 @@ def map_texts(
         return pa.array(values) if len(values) else pa.array([], pa.null())
 
     return df.mapInArrow(run, schema)
+
+
+def fresh_name(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores before it as no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name

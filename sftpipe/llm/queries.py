@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sftpipe.llm import byte_bpe
+from sftpipe.llm import byte_bpe, exact_names, mixing, simhash_vp
 from sftpipe.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,9 +21,34 @@ def query(function: Query) -> Query:
     return function
 
 
+@query
+def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_vp.near_groups(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+@query
+def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"), "doc_id", "text", "source").plan.drop("draws", "source")
+
+
 @query
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return byte_bpe.round_trip_digests(
         documents, "doc_id", "text", VOCABULARY, public_tokenizers.PATTERN
     )
+
+
+@query
+def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_names.exact_groups(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+ORACLE["op10_exact_dedup"] = """
+SELECT doc_id,
+       max(doc_id) OVER (PARTITION BY coalesce(text, '')) AS keep_id,
+       count(*) OVER (PARTITION BY coalesce(text, '')) AS group_size,
+       row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC NULLS LAST) = 1 AS kept,
+       sha256(coalesce(text, '')) AS text_sha256
+FROM documents
+"""
