@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sftpipe.llm import byte_bpe, exact_names, mixing, simhash_vp, syncmers
+from sftpipe.llm import byte_bpe, exact_names, lm_bloom, mixing, simhash_vp, syncmers
 from sftpipe.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,11 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_bloom.held_out_scores(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
 @query
 def op7_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.edit_likeness(table(spark, sf_dir, "documents"), "doc_id", "text")
