@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sftpipe.llm import byte_bpe, exact_names, lm_bloom, mixing, simhash_vp, syncmers
+from sftpipe.llm import byte_bpe, exact_names, language, lm_bloom, mixing, simhash_vp, syncmers
 from sftpipe.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,6 +49,11 @@ def op7_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.edit_likeness(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
+@query
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.held_out_languages(table(spark, sf_dir, "documents"), "doc_id", "text", "lang")
+
+
 @query
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_names.exact_groups(table(spark, sf_dir, "documents"), "doc_id", "text")
