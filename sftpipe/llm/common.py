@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 #: Words are runs of anything but the six ASCII white space characters.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -42,15 +43,13 @@ def map_texts(
     ``rows`` gets dicts from column name to a list of values and yields the rows that
     belong to each. Memory is that of one batch.
     """
-    names = df.sparkSession.createDataFrame([], schema).schema.names
+    fields = to_arrow_schema(df.sparkSession.createDataFrame([], schema).schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for found in rows(batch.to_pydict() for batch in batches):
-            columns = list(zip(*found)) or [[] for _ in names]
-            yield pa.RecordBatch.from_arrays([as_array(c) for c in columns], names=names)
-
-    def as_array(values) -> pa.Array:
-        return pa.array(values) if len(values) else pa.array([], pa.null())
+            columns = list(zip(*found)) or [[] for _ in fields]
+            arrays = [pa.array(c, f.type) for c, f in zip(columns, fields)]
+            yield pa.RecordBatch.from_arrays(arrays, schema=fields)
 
     return df.mapInArrow(run, schema)
 

@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sftpipe.llm import byte_bpe, exact_names, language, lm_bloom, mixing, simhash_vp, syncmers
+from sftpipe.llm import byte_bpe, exact_names, language, lm_bloom, mixing, quality_eb, secret_cost, simhash_vp, syncmers
 from sftpipe.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +40,37 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = secret_cost.scan(table(spark, sf_dir, "documents"), "doc_id", "text")
+    listed = lambda kept: F.array_join(
+        F.transform(kept, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ","
+    )
+    base = F.filter("spans", lambda s: s["kind"] != "guess")
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    return spans.select(
+        "doc_id",
+        *[count(kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")],
+        F.sha2(listed(base), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+    )
+
+
+def quality_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels that may be learned from."""
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    return labels.filter(~quality_eb.held_out("doc_id"))
+
+
+@query
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    found = quality_eb.classify(
+        documents, "doc_id", "text", "source", "lang", quality_labels(spark, sf_dir)
+    )
+    return found.withColumn("held_out", quality_eb.held_out("doc_id"))
+
+
 @query
 def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_bloom.held_out_scores(table(spark, sf_dir, "documents"), "doc_id", "text")
