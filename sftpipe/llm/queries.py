@@ -15,6 +15,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
+PATTERN = public_tokenizers.PATTERN
 
 
 def query(function: Query) -> Query:
@@ -35,9 +36,7 @@ def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
-    return byte_bpe.round_trip_digests(
-        documents, "doc_id", "text", VOCABULARY, public_tokenizers.PATTERN
-    )
+    return byte_bpe.round_trip_digests(documents, "doc_id", "text", VOCABULARY, PATTERN)
 
 
 @query
