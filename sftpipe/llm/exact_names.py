@@ -148,10 +148,15 @@ def exact_groups(
         block_names(df.select(df[key].alias("key"), df[text].alias("text")), "key", "text", block_bytes, digests),
         "identities",
     )
-    groups = named.groupBy("level", "name").agg(
-        F.max("key").alias("keep_id"),
-        F.count(F.lit(1)).alias("group_size"),
-        F.coalesce(F.max_by("row", "key"), F.max("row")).alias("keep_row"),
+    # Written, so that the join below reads both sides from a shuffle of its own and a large
+    # group can be split between tasks.
+    groups = write_stage(
+        named.groupBy("level", "name").agg(
+            F.max("key").alias("keep_id"),
+            F.count(F.lit(1)).alias("group_size"),
+            F.coalesce(F.max_by("row", "key"), F.max("row")).alias("keep_row"),
+        ),
+        "groups",
     )
     return named.join(groups, ["level", "name"]).select(
         F.col("key").alias(key),
