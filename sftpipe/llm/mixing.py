@@ -247,33 +247,31 @@ def mixed_rows(df: DataFrame, key: str, text: str, source: str, **options) -> Da
     ends, only the words taken are left. Rows are found again by key and size; where several
     rows share both, they are numbered first.
     """
-    draw, size, number = (fresh_name(df, c) for c in ("draw", "draw_size", "draw_number"))
+    own, draw, size, number = (fresh_name(df, c) for c in ("draw_key", "draw", "draw_size", "draw_number"))
+    met_size, met_number = (fresh_name(df, c) for c in ("drawn_size", "drawn_number"))
     plan = write_stage(
         mix(df, key, text, source, **options).plan.select(
-            F.col(key).alias("key"), F.col("size").alias(size), "draws"
+            F.col(f"`{key}`").alias(own), F.col("size").alias(met_size), F.col("draws").alias(draw)
         ),
         "mix-plan",
     )
+    repeated = not plan.groupBy(own, met_size).count().filter("count > 1").isEmpty()
+    plan = plan.withColumn(met_number, _number([own, met_size], draw) if repeated else F.lit(1))
     keyed = df.withColumn(size, word_count(df[text]))
-    repeated = not plan.groupBy("key", size).count().filter("count > 1").isEmpty()
-    plan = plan.withColumn(number, _number(["key", size], "draws") if repeated else F.lit(1))
     keyed = keyed.withColumn(number, _number([key, size], key) if repeated else F.lit(1))
-    drawn = plan.filter(F.size("draws") > 0).select(
-        "key", plan[size].alias("size"), plan[number].alias("number"), F.col("draws").alias(draw)
-    )
     met = keyed.join(
-        drawn.hint("shuffle_hash"),
-        keyed[key].eqNullSafe(drawn["key"])
-        & (keyed[size] == drawn["size"])
-        & (keyed[number] == drawn["number"]),
-    ).select(*keyed.columns, F.explode(draw).alias(draw))
+        plan.filter(F.size(draw) > 0).hint("shuffle_hash"),
+        F.col(f"`{key}`").eqNullSafe(F.col(own))
+        & (F.col(size) == F.col(met_size))
+        & (F.col(number) == F.col(met_number)),
+    ).withColumn(draw, F.explode(draw))
     words = F.regexp_extract_all(filled(text), F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0))
     taken = F.array_join(F.slice(words, F.lit(1), F.col(f"{draw}.words").cast("int")), "")
     return (
         met.withColumn(text, F.when(F.col(f"{draw}.words") < F.col(size), taken).otherwise(F.col(text)))
         .repartition(F.col(f"{draw}.shard"))
         .sortWithinPartitions(f"{draw}.shard", f"{draw}.place")
-        .select(*df.columns)
+        .select(*(f"`{c}`" for c in df.columns))
     )
 
 

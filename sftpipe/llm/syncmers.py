@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from sftpipe.llm.common import filled
 
 K, S = 8, 2
-#: Texts with fewer units have single units as anchors as well, as few K-mers fit in them.
-SHORT_UNITS = 32
+#: Texts with fewer characters have single units as anchors as well, as few K-mers fit in them.
+SHORT_CHARS = 200
 UNIT_CHARS = 16
 UNIT = rf"[^\x20\x09-\x0D]{{1,{UNIT_CHARS}}}"
 #: Rows in a run of neighbouring keys that is ordered by one task, and runs at most.
@@ -42,8 +42,11 @@ def _digest(k_mer: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(k_mer), 32)
 
 
-def _sampled(units: Column, hashed, short) -> Column:
-    """``hashed(units, i)`` for each closed syncmer, which starts at unit i (from 1)."""
+def _sampled(text: Column, hashed, singles) -> Column:
+    """``hashed(units, i)`` for each closed syncmer, which starts at unit i (from 1).
+
+    A short text also has its ``singles(units)``.
+    """
     inner = K - S + 1
 
     def with_windows(arrays: Column) -> Column:
@@ -62,12 +65,12 @@ def _sampled(units: Column, hashed, short) -> Column:
         both = F.struct(h.alias("h"), windows.alias("s"))
         sampled = _bound(both, with_windows)
         return (
-            F.when(F.size(h) >= SHORT_UNITS, sampled)
-            .when(F.size(h) >= K, F.concat(sampled, short(h)))
-            .otherwise(short(h))
+            F.when(F.size(h) < K, singles(h))
+            .when(F.length(text) < SHORT_CHARS, F.concat(sampled, singles(h)))
+            .otherwise(sampled)
         )
 
-    return _bound(F.transform(units, lambda u: F.xxhash64(u)), of)
+    return _bound(F.transform(_units(text), lambda u: F.xxhash64(u)), of)
 
 
 def _units(text: Column) -> Column:
@@ -78,7 +81,7 @@ def anchors(text: str | Column) -> Column:
     """The fingerprint of a text as an array of longs below 2^32."""
     return F.array_distinct(
         _sampled(
-            _units(filled(text)),
+            filled(text),
             lambda h, i: _digest(F.slice(h, i, K)),
             lambda h: F.transform(h, lambda u: _digest(F.array(u))),
         )
@@ -91,7 +94,7 @@ def positioned_anchors(text: str | Column) -> Column:
         return F.struct(position.cast("int").alias("unit"), digest.alias("hash"))
 
     return _sampled(
-        _units(filled(text)),
+        filled(text),
         lambda h, i: at(i, _digest(F.slice(h, i, K))),
         lambda h: F.transform(h, lambda u, i: at(i + 1, _digest(F.array(u)))),
     )
