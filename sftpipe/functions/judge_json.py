@@ -33,10 +33,9 @@ _PYTHON_TYPES = {
 }
 
 
-def judge_prompt(question: Column, answer: Column) -> Column:
-    return F.concat(
-        F.lit(PROMPT_HEAD), question, F.lit(PROMPT_MIDDLE), prefix(answer, PROMPT_ANSWER_CHARS)
-    )
+def judge_prompt(question: Column, answer: Column, chars: int = PROMPT_ANSWER_CHARS) -> Column:
+    """The prompt about a pair, with the first ``chars`` characters of the answer."""
+    return F.concat(F.lit(PROMPT_HEAD), question, F.lit(PROMPT_MIDDLE), prefix(answer, chars))
 
 
 def variant_type(v: Column) -> Column:
@@ -74,9 +73,16 @@ def numeric_field(v: Column, field: str) -> Column:
     return F.when(kind.isin("BIGINT", "DECIMAL", "DOUBLE", "BOOLEAN"), number)
 
 
+def has_field(v: Column, field: str) -> Column:
+    """Whether the object has the field; it may be null."""
+    return F.try_variant_get(v, f"$.{field}", "variant").isNotNull()
+
+
 def text_field(v: Column, field: str) -> Column:
-    """The JSON value as text: strings as they are, other types as JSON; null when absent."""
+    """The JSON value as text: strings as they are, other types as JSON; null when absent or null."""
     item = F.try_variant_get(v, f"$.{field}", "variant")
-    return F.when(
-        F.schema_of_variant(item) == "STRING", F.try_variant_get(v, f"$.{field}", "string")
-    ).otherwise(F.to_json(item))
+    return (
+        F.when(F.is_variant_null(item), F.lit(None).cast("string"))
+        .when(F.schema_of_variant(item) == "STRING", F.try_variant_get(v, f"$.{field}", "string"))
+        .otherwise(F.to_json(item))
+    )

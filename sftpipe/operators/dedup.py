@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sftpipe.operators.joins import HOT_FLOOR, HOT_SHARE, join_hot, without_keys
-from sftpipe.session import write_counted, write_stage
+from sftpipe.session import append_stage, write_counted, write_stage
 
 
 def first_keys(df: DataFrame, group: str | Sequence[str], key: str) -> DataFrame:
@@ -80,7 +80,7 @@ def near_dup_keys(
         "near-live",
         size(F.lit(True)),
     )
-    dropped = live.select(key).limit(0)
+    dropped_path = None
     undecided = F.col("kept").isNull()
     while rows:
         live_entries = live.select(key, F.size("buckets").alias("n"), F.explode("buckets").alias("bucket"))
@@ -97,21 +97,24 @@ def near_dup_keys(
             .agg(F.bool_or(F.col("kept_key") == F.col(key)).alias("kept"))
         )
         state, rows = write_counted(live.join(decided, key, "left"), "near-state", size(undecided))
-        dropped = dropped.unionByName(state.filter("NOT kept").select(key))
+        dropped_path = append_stage(state.filter("NOT kept").select(key), dropped_path)
         live = state.filter(undecided).drop("kept")
-    return dropped
+    if dropped_path is None:
+        return live.select(key).limit(0)
+    return live.sparkSession.read.schema(live.select(key).schema).parquet(dropped_path)
 
 
 def near_dedup(df: DataFrame, key: str, bands: str = "bands") -> DataFrame:
     """Rows of ``df`` that survive the first-wins scan in ``key`` order.
 
-    Keys and bands are written once, so the signature is not computed per round.
+    Rows are written once, so neither the signature nor what made the rows is computed
+    again.
     """
-    narrow, entries = write_counted(df.select(key, bands), "bands", F.sum(F.size(bands)))
+    staged, entries = write_counted(df, "banded", F.sum(F.size(bands)))
     dropped, rows = write_counted(
-        near_dup_keys(bucket_rows(narrow, key, bands), key, entries), "near-dropped"
+        near_dup_keys(bucket_rows(staged, key, bands), key, entries), "near-dropped"
     )
-    return without_keys(df, dropped, key, rows)
+    return without_keys(staged, dropped, key, rows)
 
 
 def duplicate_rows(df: DataFrame) -> DataFrame:

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sftpipe.functions.text import ingest_fingerprint, prefix
-from sftpipe.operators.joins import not_seen
+from sftpipe.operators.joins import BROADCAST_ROWS, met_in, not_seen, with_keys
 from sftpipe.operators.pages import ERROR_CHARS
+from sftpipe.session import write_counted
 
 
 def unseen_pages(pages: DataFrame, visited: DataFrame) -> DataFrame:
@@ -19,15 +20,23 @@ def new_records(found: DataFrame, stored: DataFrame) -> DataFrame:
     """First occurrence of each content hash that is not stored yet.
 
     ``found`` has page_key, position, question, answer and is in (page_key,
-    position) order. Hash and place alone decide; the text moves once, by place.
+    position) order. Hash and place alone decide, both of fixed width, so the firsts are
+    found by hashing; a small batch is broadcast to the store, which is only scanned, and
+    its text does not move.
     """
     hashed = found.filter("question != '' AND answer != ''").withColumn(
         "content_hash", ingest_fingerprint("question", "answer")
     )
-    placed = hashed.withColumn("place", F.struct("page_key", "position"))
-    firsts = placed.groupBy("content_hash").agg(F.min("place").alias("place"))
-    fresh = firsts.join(stored.select("content_hash"), "content_hash", "left_anti")
-    return placed.join(fresh.select("place"), "place", "left_semi").drop("place")
+    # One number in (page_key, position) order, with room for both whole ranges.
+    place = F.col("page_key").cast("decimal(20,0)") * F.lit(1 << 32).cast("decimal(11,0)")
+    placed = hashed.withColumn("place", (place + F.col("position")).cast("decimal(38,0)"))
+    narrow = placed.select(F.unhex("content_hash").alias("digest"), "place")
+    firsts, rows = write_counted(narrow.groupBy("digest").agg(F.min("place").alias("place")), "firsts")
+    known = stored.select(F.unhex("content_hash").alias("digest"))
+    if rows <= BROADCAST_ROWS:
+        known = F.broadcast(met_in(known, firsts.select("digest"), "digest"))
+    fresh, fresh_rows = write_counted(firsts.join(known, "digest", "left_anti").select("place"), "fresh")
+    return with_keys(placed, fresh, "place", fresh_rows).drop("place")
 
 
 def page_outcomes(parsed: DataFrame) -> DataFrame:
@@ -39,13 +48,13 @@ def page_outcomes(parsed: DataFrame) -> DataFrame:
     )
 
 
-def dead_letter_rows(parsed: DataFrame) -> DataFrame:
+def dead_letter_rows(parsed: DataFrame, error_chars: int = ERROR_CHARS) -> DataFrame:
     """(url, error) of failed pages, the last failure per url, error text cut."""
     return (
         parsed.filter("NOT ok")
         .groupBy("url")
         .agg(F.max_by("error", "page_key").alias("error"))
-        .select("url", prefix("error", ERROR_CHARS).alias("error"))
+        .select("url", prefix("error", error_chars).alias("error"))
     )
 
 

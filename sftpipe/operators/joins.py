@@ -11,15 +11,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sftpipe.session import write_counted
+from sftpipe.session import write_counted, write_stage
 
 BROADCAST_ROWS = 500_000
 HOT_SHARE = 4096
 HOT_FLOOR = 200_000
+#: No key with more rows than this is left to one task, however large the table.
+HOT_MOST = 10_000_000
 
 
 def at_most(df: DataFrame, rows: int) -> bool:
-    return df.limit(rows + 1).count() <= rows
+    """By a plain count: tasks send one number each, where a limit would send rows to one task."""
+    return df.count() <= rows
 
 
 def _by_key(df, keys, on, how, rows, broadcast_rows):
@@ -64,21 +67,35 @@ def not_seen(
     """Rows of ``df`` whose text ``value`` is not among those of ``seen``; ``key`` is unique.
 
     Values are matched as 16-byte digests. Seen values counted to be few are
-    broadcast. Beyond that only (key, digest) is joined, with hot values handled, and
-    the open rows are fetched by their keys, so wide rows move only when both sets
-    are large.
+    broadcast. A small batch against a large store goes the other way: its digests are
+    broadcast to the store, and the few that are met there come back. Only when both are
+    large are (key, digest) joined, with hot values handled, and the open rows fetched by
+    their keys.
     """
     digest = F.unhex(F.md5(F.col(value))).alias("_digest")
     done = seen.select(digest)
     if at_most(done, broadcast_rows):
         keyed = df.select("*", digest)
         return keyed.join(F.broadcast(done), "_digest", "left_anti").drop("_digest")
-    narrow = df.select(key, digest)
-    open_rows = join_hot(narrow, done.distinct(), "_digest", "left_anti", df.count())
+    narrow, batch = write_counted(df.select(key, digest), "batch-digests")
+    if batch <= broadcast_rows:
+        met = met_in(done, narrow.select("_digest"), "_digest")
+        keyed = df.select("*", digest)
+        return keyed.join(F.broadcast(met), "_digest", "left_anti").drop("_digest")
+    open_rows = join_hot(narrow, done.distinct(), "_digest", "left_anti", batch)
     todo, rows = write_counted(open_rows.select(key), "not-seen")
     return with_keys(df, todo, key, rows, broadcast_rows)
 
 
+def met_in(store: DataFrame, few: DataFrame, on: str) -> DataFrame:
+    """The values of ``few``, counted by the caller to fit a broadcast, that ``store`` has.
+
+    The store is only scanned; what it sends on are values of ``few``.
+    """
+    hits = store.select(on).join(F.broadcast(few.distinct()), on, "left_semi")
+    return write_stage(hits.distinct(), "met")
+
+
 def hot_keys(
     df: DataFrame,
     on: str,
@@ -87,11 +104,12 @@ def hot_keys(
     floor: int = HOT_FLOOR,
     counts: DataFrame | None = None,
 ) -> DataFrame | None:
-    """Keys above the hot limit, or None. At most ``share`` rows reach the driver.
+    """Keys above the hot limit, or None. At most ``share`` rows reach the driver, or one for
+    each ``HOT_MOST`` rows if that is more.
 
     ``counts`` (on, count) saves the counting where the caller has done it.
     """
-    limit = max(rows // share, floor)
+    limit = min(max(rows // share, floor), max(HOT_MOST, floor))
     if rows <= limit:
         return None
     counts = df.groupBy(on).count() if counts is None else counts

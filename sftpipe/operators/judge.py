@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from sftpipe.functions.judge_json import (
     DIMENSIONS,
+    PROMPT_ANSWER_CHARS,
+    has_field,
     judge_prompt,
     numeric_field,
     parse_response,
@@ -15,7 +17,6 @@ from sftpipe.functions.judge_json import (
 )
 from sftpipe.operators.joins import not_seen
 
-RETRIES = 3
 RECORD_FIELDS = ("instruction", "input", "output", "source")
 
 
@@ -27,19 +28,22 @@ def pending_records(records: DataFrame, scored: DataFrame, key: str) -> DataFram
     return not_seen(records, key, "instruction", scored.filter("_error IS NULL"))
 
 
-def judge_requests(records: DataFrame, *keep: str) -> DataFrame:
-    return records.select(
-        *keep, judge_prompt(F.col("instruction"), F.col("output")).alias("prompt")
-    )
+def judge_requests(
+    records: DataFrame, *keep: str, answer_chars: int = PROMPT_ANSWER_CHARS
+) -> DataFrame:
+    prompt = judge_prompt(F.col("instruction"), F.col("output"), answer_chars)
+    return records.select(*keep, prompt.alias("prompt"))
 
 
-def pick_responses(responses: DataFrame, key: str, retries: int = RETRIES) -> DataFrame:
+def pick_responses(responses: DataFrame, key: str, retries: int | None = None) -> DataFrame:
     """Per record the first good response, or else the last error.
 
     ``responses`` has ``key``, ``attempt`` (from 1), ``content`` and ``error`` (a
-    failed call, null otherwise).
+    failed call, null otherwise). How often to ask is the client's business: all stored
+    attempts count, unless ``retries`` leaves out later ones.
     """
-    checked = responses.filter(F.col("attempt") <= retries).select(
+    tried = responses if retries is None else responses.filter(F.col("attempt") <= retries)
+    checked = tried.select(
         key,
         "attempt",
         "content",
@@ -56,7 +60,9 @@ def pick_responses(responses: DataFrame, key: str, retries: int = RETRIES) -> Da
 
 
 def attach_scores(records: DataFrame, picked: DataFrame, key: str) -> DataFrame:
-    """Records with scores, reason and error; a field the judge repeats wins.
+    """Records with scores, reason and error; a field the judge repeats wins, also as null.
+
+    An error field makes an error row, whatever it holds.
 
     ``key`` is unique on both sides. Records without any response are left out:
     they are still to do.
@@ -66,8 +72,14 @@ def attach_scores(records: DataFrame, picked: DataFrame, key: str) -> DataFrame:
     v = F.col("v")
     return parsed.select(
         key,
-        *[F.coalesce(text_field(v, f), F.col(f)).alias(f) for f in RECORD_FIELDS],
+        *[
+            F.when(has_field(v, f), text_field(v, f)).otherwise(F.col(f)).alias(f)
+            for f in RECORD_FIELDS
+        ],
         *[numeric_field(v, d).alias(d) for d in DIMENSIONS],
         text_field(v, "reason").alias("reason"),
-        F.coalesce(F.col("_error"), text_field(v, "_error")).alias("_error"),
+        F.coalesce(
+            F.col("_error"),
+            F.when(has_field(v, "_error"), F.coalesce(text_field(v, "_error"), F.lit("null"))),
+        ).alias("_error"),
     )

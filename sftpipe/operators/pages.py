@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
+from dataclasses import dataclass
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -63,6 +64,7 @@ class _TreeBuilder(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = Node("", {})
         self.open = [self.root]
+        self.in_text = False
 
     def handle_starttag(self, tag, attrs):
         node = Node(tag, dict(attrs))
@@ -81,10 +83,17 @@ class _TreeBuilder(HTMLParser):
 
     def handle_data(self, data):
         siblings = self.open[-1].children
-        if siblings and isinstance(siblings[-1], str):
+        if self.in_text and siblings and isinstance(siblings[-1], str):
             siblings[-1] += data
         else:
             siblings.append(data)
+        self.in_text = True
+
+    def _end_text(self, _):
+        """A comment, declaration or instruction leaves no node, but the text after it is another piece."""
+        self.in_text = False
+
+    handle_comment = handle_decl = handle_pi = unknown_decl = _end_text
 
 
 def parse_html(html: str) -> Node:
@@ -94,63 +103,132 @@ def parse_html(html: str) -> Node:
     return builder.root
 
 
-def quote_page(root: Node) -> list[dict]:
-    """Every ``div.quote``: its text, and the author with the tags as answer."""
-    records = []
-    for quote in root.all("div", "quote"):
-        tags = ", ".join(t.get_text(strip=True) for t in quote.all("a", "tag"))
-        author = quote.first("small", "author").get_text(strip=True)
-        records.append(
-            {
-                "question": quote.first("span", "text").get_text(strip=True),
-                "answer": QUOTE_ANSWER.format(author=author, tags=tags or NO_TAGS),
-            }
-        )
-    return records
-
-
-def article_page(root: Node) -> list[dict]:
-    """One pair: the ``h1``, and the article's text without it."""
-    title, article = root.first("h1"), root.first("article")
-    if title is None or article is None:
-        return []
-    question = title.get_text(strip=True)
-    answer = article.get_text(strip=True, skip=title)
-    return [{"question": question, "answer": answer}] if question and answer else []
-
-
-def book_page(root: Node) -> list[dict]:
-    """Every ``article.product_pod``: title attribute, price and stock as text."""
-    return [
+@dataclass(frozen=True)
+class Pick:
+    """A text or attribute below an element: of the first match of the last step, or of all.
+
+    ``steps`` are (tag, class, ...) selectors; all but the last take the first match.
+    """
+
+    steps: tuple[tuple[str, ...], ...]
+    attribute: str | None = None
+    strip_pieces: bool = True
+    strip: bool = False
+    joined: str | None = None
+    default: str = ""
+    without: tuple[str, ...] | None = None
+
+    def read(self, node: Node) -> str:
+        for step in self.steps[:-1]:
+            node = node.first(*step)
+        if self.joined is not None:
+            found = node.all(*self.steps[-1])
+            return self.joined.join(map(self._value, found)) or self.default
+        return self._value(node.first(*self.steps[-1]))
+
+    def _value(self, node: Node) -> str:
+        if self.attribute is not None:
+            return node.attrs[self.attribute]
+        skip = node.first(*self.without) if self.without else None
+        text = node.get_text(strip=self.strip_pieces, skip=skip)
+        return text.strip() if self.strip else text
+
+
+@dataclass(frozen=True)
+class Site:
+    """What is read from a page: per ``container``, the whole page without one, the
+    ``fields``, from which ``record`` makes the columns of a row.
+
+    A ``lenient`` site has no row where an element is missing or a column is empty;
+    otherwise a missing element is an error of the page.
+    """
+
+    source: str
+    fields: dict[str, Pick]
+    record: dict[str, str]
+    container: tuple[str, ...] | None = None
+    lenient: bool = False
+
+    def rows(self, root: Node) -> list[dict[str, str]]:
+        parts = root.all(*self.container) if self.container else [root]
+        return [row for part in parts if (row := self._row(part)) is not None]
+
+    def _row(self, part: Node) -> dict[str, str] | None:
+        if self.lenient and any(part.first(*p.steps[-1]) is None for p in self.fields.values()):
+            return None
+        values = {name: pick.read(part) for name, pick in self.fields.items()}
+        row = {name: form.format(**values) for name, form in self.record.items()}
+        return row if all(row.values()) or not self.lenient else None
+
+
+# Add a site here. Records of pages have a question and an answer; books have columns of
+# their own.
+SITES: dict[str, Site] = {
+    "quotes": Site(
+        "quotes_demo",
+        {
+            "tags": Pick((("a", "tag"),), joined=", ", default=NO_TAGS),
+            "author": Pick((("small", "author"),)),
+            "text": Pick((("span", "text"),)),
+        },
+        {"question": "{text}", "answer": QUOTE_ANSWER},
+        container=("div", "quote"),
+    ),
+    "article": Site(
+        "article_page",
+        {"title": Pick((("h1",),)), "body": Pick((("article",),), without=("h1",))},
+        {"question": "{title}", "answer": "{body}"},
+        lenient=True,
+    ),
+    "books": Site(
+        "books_demo",
         {
-            "title": pod.first("h3").first("a").attrs["title"],
-            "price": pod.first("p", "price_color").get_text(),
-            "stock": pod.first("p", "instock", "availability").get_text().strip(),
-        }
-        for pod in root.all("article", "product_pod")
-    ]
-
-
-# Site name -> (source label, parser). Register a parser here to add a site.
-SITES: dict[str, tuple[str, Callable[[Node], list[dict]]]] = {
-    "quotes": ("quotes_demo", quote_page),
-    "article": ("article_page", article_page),
+            "title": Pick((("h3",), ("a",)), attribute="title"),
+            "price": Pick((("p", "price_color"),), strip_pieces=False),
+            "stock": Pick((("p", "instock", "availability"),), strip_pieces=False, strip=True),
+        },
+        {"title": "{title}", "price": "{price}", "stock": "{stock}"},
+        container=("article", "product_pod"),
+    ),
 }
+PAIR_COLUMNS = ("question", "answer")
+BOOK_COLUMNS = ("title", "price", "stock")
 
 
-def check_site(site: str) -> None:
-    if site not in SITES:
-        raise ValueError(f"unknown site {site!r}; known sites: {sorted(SITES)}")
+def check_site(site: str, columns: tuple[str, ...] = PAIR_COLUMNS) -> None:
+    known = sorted(name for name, s in SITES.items() if tuple(s.record) == columns)
+    if site not in known:
+        raise ValueError(f"unknown site {site!r}; known sites: {known}")
 
 
-def _attempt(parse: Callable[[Node], list[dict]], html: str | None) -> tuple[list | None, str | None]:
+def _attempt(site: Site, html: str | None, error_chars: int) -> tuple[list | None, str | None]:
     try:
-        return parse(parse_html(html)), None
+        return site.rows(parse_html(html)), None
     except Exception as error:  # one bad page must not end the run
-        return None, f"{type(error).__name__}: {error}"[:ERROR_CHARS]
+        return None, f"{type(error).__name__}: {error}"[:error_chars]
+
+
+def _parse(
+    pages: DataFrame, columns: tuple[str, ...], schema: str, error_chars: int = ERROR_CHARS
+) -> DataFrame:
+    """One row per page (page_key, url, html, site): its rows with ``columns``, or the error."""
+    sites = {name: s for name, s in SITES.items() if tuple(s.record) == columns}
+
+    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for row in batch.itertuples(index=False):
+                site = sites[row.site]
+                records, error = _attempt(site, row.html, error_chars)
+                rows.append((row.page_key, row.url, site.source, error is None, error, records))
+            yield pd.DataFrame(rows, columns=["page_key", "url", "source", "ok", "error", "records"])
+
+    return pages.select("page_key", "url", "html", "site").mapInPandas(parse, schema)
 
 
-def parse_pages(pages: DataFrame, site: str | None = None) -> DataFrame:
+def parse_pages(
+    pages: DataFrame, site: str | None = None, error_chars: int = ERROR_CHARS
+) -> DataFrame:
     """One row per page (page_key, url, html): its records, or the error.
 
     ``site`` names the parser of all pages; without it the column ``site`` does,
@@ -159,18 +237,7 @@ def parse_pages(pages: DataFrame, site: str | None = None) -> DataFrame:
     if site is not None:
         check_site(site)
         pages = pages.withColumn("site", F.lit(site))
-    sites = dict(SITES)
-
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for row in batch.itertuples(index=False):
-                source, parser = sites[row.site]
-                records, error = _attempt(parser, row.html)
-                rows.append((row.page_key, row.url, source, error is None, error, records))
-            yield pd.DataFrame(rows, columns=["page_key", "url", "source", "ok", "error", "records"])
-
-    return pages.select("page_key", "url", "html", "site").mapInPandas(parse, PARSED_SCHEMA)
+    return _parse(pages, PAIR_COLUMNS, PARSED_SCHEMA, error_chars)
 
 
 def page_records(parsed: DataFrame) -> DataFrame:
@@ -183,19 +250,17 @@ def page_records(parsed: DataFrame) -> DataFrame:
     )
 
 
-def parse_books(pages: DataFrame) -> DataFrame:
-    """Book rows of list pages (page_key, html); pages that fail are left out."""
+def parse_books(pages: DataFrame, error_chars: int = ERROR_CHARS) -> DataFrame:
+    """One row per list page (page_key, url, html): its books, or the error."""
+    named = pages.withColumn("site", F.lit("books"))
+    schema = PARSED_SCHEMA.replace("question:string,answer:string", "title:string,price:string,stock:string")
+    return _parse(named, BOOK_COLUMNS, schema, error_chars)
 
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for key, html in zip(batch["page_key"], batch["html"]):
-                books, _ = _attempt(book_page, html)
-                rows += [
-                    (key, i, b["title"], b["price"], b["stock"]) for i, b in enumerate(books or [])
-                ]
-            yield pd.DataFrame(rows, columns=["page_key", "position", "title", "price", "stock"])
-
-    return pages.select("page_key", "html").mapInPandas(
-        parse, "page_key bigint, position int, title string, price string, stock string"
+
+def book_rows(parsed: DataFrame) -> DataFrame:
+    """The books of the pages that could be read, with their place on the page."""
+    return (
+        parsed.filter("ok")
+        .select("page_key", F.posexplode("records").alias("position", "book"))
+        .select("page_key", "position", "book.*")
     )

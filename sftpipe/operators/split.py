@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sftpipe.session import write_stage
+
 SEED_ROWS = 20_000
 SPLIT_SEED = 42
 SORT_ROWS = 1_000_000
@@ -61,26 +63,49 @@ def seeded_shuffle(df: DataFrame, key: str, seed: int = SPLIT_SEED) -> DataFrame
     return df.orderBy(shuffle_rank(key, seed), key)
 
 
-def _cutoff(ranked: DataFrame, n: int) -> str | None:
-    """The ``n``-th smallest rank.
+def numbered(ordered: DataFrame, name: str) -> DataFrame:
+    """Rows of a sorted DataFrame with their position from 0 as ``name``.
 
-    Ranks are digests of unique keys and hence uniform: counts per 4-digit prefix
-    (at most 65,536 rows) show which prefix holds it, and only the rows of that
-    prefix, a 65,536-th of the table, are sorted.
+    Rows are written with their number inside each partition; the driver adds up the
+    partitions' counts.
     """
-    counts = (
-        ranked.groupBy(F.substring("rank", 1, _PREFIX_CHARS).alias("prefix"))
-        .count()
-        .orderBy("prefix")
-        .collect()
+    inside = F.monotonically_increasing_id()
+    staged = write_stage(ordered.withColumn(name, inside), "ordered")
+    part = F.shiftright(name, 33).cast("int")
+    counts = staged.groupBy(part.alias("_part")).count().orderBy("_part").collect()
+    starts, total = [], 0
+    for number, rows in counts:
+        starts.append((number, total - (number << 33)))
+        total += rows
+    table = F.broadcast(staged.sparkSession.createDataFrame(starts, "_part int, _start bigint"))
+    return (
+        staged.withColumn("_part", part)
+        .join(table, "_part")
+        .withColumn(name, F.col(name) + F.col("_start"))
+        .drop("_part", "_start")
     )
-    before = 0
-    for prefix, count in counts:
-        if before + count >= n:
-            within = ranked.filter(F.col("rank").startswith(prefix)).orderBy("rank")
-            return within.limit(n - before).agg(F.max("rank")).first()[0]
-        before += count
-    return None
+
+
+def _cutoff(ranked: DataFrame, n: int, sort_rows: int = SORT_ROWS) -> str | None:
+    """The ``n``-th smallest rank.
+
+    Ranks are digests of unique keys and hence uniform: counts per 4 more digits of the
+    prefix (at most 65,536 rows) show which prefix holds it, until it has few enough rows
+    to sort.
+    """
+    prefix = ""
+    while True:
+        digits = F.substring("rank", 1, len(prefix) + _PREFIX_CHARS)
+        counts = ranked.groupBy(digits.alias("prefix")).count().orderBy("prefix").collect()
+        for prefix, rows in counts:
+            if n <= rows:
+                break
+            n -= rows
+        else:
+            return None
+        ranked = ranked.filter(F.col("rank").startswith(prefix))
+        if rows <= sort_rows or len(prefix) >= 32:
+            return ranked.orderBy("rank").limit(n).agg(F.max("rank")).first()[0]
 
 
 def train_test_split(

@@ -14,17 +14,25 @@ LENGTH_BINS = 50
 HIGH_QUALITY = 4
 
 
-def profile(df: DataFrame) -> DataFrame:
-    """Per column: null count, with the table's row, column and duplicate counts.
+def _missing(df: DataFrame, name: str) -> Column:
+    column = F.col(f"`{name}`")
+    if df.schema[name].dataType.typeName() in ("double", "float"):
+        return column.isNull() | F.isnan(column)
+    return column.isNull()
 
-    One scan: null flags are equal within a group of equal rows, so they ride on
-    the digest grouping that counts duplicates.
+
+def profile(df: DataFrame, by: str | None = None) -> DataFrame:
+    """Per column: missing count, with the table's row, column and duplicate counts.
+
+    NaN counts as missing. One scan: missing flags are equal within a group of equal rows,
+    so they ride on the digest grouping that counts duplicates. ``by`` names a column, the
+    first, whose values are profiled apart.
     """
-    names = df.columns
-    groups = row_groups(
-        df, *[F.count_if(F.col(f"`{n}`").isNull()).alias(f"n{i}") for i, n in enumerate(names)]
-    )
-    totals = groups.agg(
+    keys = [by] if by else []
+    names = [c for c in df.columns if c != by]
+    flags = [F.count_if(_missing(df, n)).alias(f"n{i}") for i, n in enumerate(names)]
+    groups = row_groups(df, *[F.first(F.col(f"`{k}`")).alias(k) for k in keys], *flags)
+    totals = groups.groupBy(*keys).agg(
         F.coalesce(F.sum("copies"), F.lit(0)).alias("rows"),
         F.count("*").alias("distinct_rows"),
         F.array(
@@ -35,6 +43,7 @@ def profile(df: DataFrame) -> DataFrame:
         ).alias("per_column"),
     )
     return totals.select(
+        *keys,
         F.inline("per_column"),
         "rows",
         F.lit(len(names)).alias("columns"),
@@ -164,18 +173,30 @@ def histogram(df: DataFrame, value: Column, bins: int) -> DataFrame:
     )
 
 
+def _chars(scored: DataFrame, field: str) -> Column:
+    """The length of a text, or the column that ``narrow_scores`` has in its place."""
+    name = f"{field}_chars"
+    return F.col(name) if name in scored.columns else F.length(field)
+
+
+def narrow_scores(scored: DataFrame) -> DataFrame:
+    """Error-free rows without their texts: scores and lengths."""
+    lengths = [F.length(f).alias(f"{f}_chars") for f in ("instruction", "output")]
+    return scored_ok(scored).select(*DIMENSIONS, *lengths, F.lit(None).cast("string").alias("_error"))
+
+
 def overall_histogram(scored: DataFrame, bins: int = OVERALL_BINS) -> DataFrame:
     return histogram(scored_ok(scored), overall_score(), bins)
 
 
 def length_histogram(scored: DataFrame, field: str, bins: int = LENGTH_BINS) -> DataFrame:
-    return histogram(scored_ok(scored), F.length(field), bins)
+    return histogram(scored_ok(scored), _chars(scored, field), bins)
 
 
 def mean_lengths(scored: DataFrame) -> DataFrame:
     return scored_ok(scored).agg(
-        F.avg(F.length("instruction")).alias("mean_question_chars"),
-        F.avg(F.length("output")).alias("mean_answer_chars"),
+        F.avg(_chars(scored, "instruction")).alias("mean_question_chars"),
+        F.avg(_chars(scored, "output")).alias("mean_answer_chars"),
     )
 
 

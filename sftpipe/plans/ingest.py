@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,8 +17,8 @@ from sftpipe.operators.ingest import (
 )
 from sftpipe.operators.pages import check_site, page_records, parse_pages
 from sftpipe.operators.split import head
-from sftpipe.session import spread, write_stage
-from sftpipe.sources.tables import append_table, read_table, records
+from sftpipe.session import spread, write_counted, write_stage
+from sftpipe.sources.tables import append_table, earliest, read_table, records
 
 
 def ingest_pages(
@@ -26,21 +27,25 @@ def ingest_pages(
     site: str | None = None,
     limit: int | None = None,
     now: datetime | None = None,
-    run: str = "batch",
+    run: str | None = None,
 ) -> DataFrame:
     """Process the pages (page_key, url, html[, site]) not seen before; return the run summary.
 
     ``visited`` is written last: a run that dies earlier is simply done again, and
     the content hash keeps its records from entering twice. Both results are
     written to scratch before any table changes, so what is appended cannot depend
-    on the appends.
+    on the appends. A batch without a ``run`` name gets one from its pages, so that a batch
+    done again has the same.
     """
     if site is not None:
         check_site(site)
     spark = pages.sparkSession
     at = F.lit(now or datetime.now())
     todo = unseen_pages(head(pages, "page_key", limit), read_table(spark, root, "visited"))
-    parsed = write_stage(parse_pages(spread(todo, "page_key"), site), "parsed-pages")
+    digest = F.sum(F.xxhash64("page_key", "url").cast("decimal(38,0)"))
+    parsed, batch = write_counted(parse_pages(spread(todo, "page_key"), site), "parsed-pages", digest)
+    if run is None:
+        run = f"batch-{int(batch) % (1 << 64):x}" if batch else f"empty-{uuid.uuid4().hex}"
     fresh = write_stage(new_records(page_records(parsed), records(spark, root)), "new-records")
     summary = write_stage(run_summary(parsed, fresh), "run-summary")
 
@@ -55,5 +60,6 @@ def ingest_pages(
 
 
 def runs(spark: SparkSession, root: str) -> DataFrame:
-    """Counts per batch, in place of a progress line."""
-    return read_table(spark, root, "runs")
+    """Counts per batch, in place of a progress line: the first row of each run's name, as a
+    batch that is done again finds its records stored already."""
+    return earliest(read_table(spark, root, "runs"), "run", "at")

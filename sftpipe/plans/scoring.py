@@ -13,11 +13,12 @@ from sftpipe.operators.judge import (
     pending_records,
     pick_responses,
 )
-from sftpipe.operators.split import head, train_test_split
+from sftpipe.operators.split import head, seeded_shuffle, train_test_split
 from sftpipe.operators.stats import (
     high_quality_share,
     length_histogram,
     mean_lengths,
+    narrow_scores,
     overall_histogram,
     score_histogram,
     scored_ok,
@@ -61,17 +62,20 @@ class Distributions:
 
 
 def distributions(scored: DataFrame) -> Distributions:
+    """All statistics of the scored rows. The wide rows are read once, for a narrow stage of
+    scores and lengths that the statistics share."""
+    narrow = write_stage(narrow_scores(scored), "scores-and-lengths")
     return Distributions(
-        scores=score_histogram(scored),
-        overall=overall_histogram(scored),
-        high_quality=high_quality_share(scored),
-        question_chars=length_histogram(scored, "instruction"),
-        answer_chars=length_histogram(scored, "output"),
-        mean_chars=mean_lengths(scored),
+        scores=score_histogram(narrow),
+        overall=overall_histogram(narrow),
+        high_quality=high_quality_share(narrow),
+        question_chars=length_histogram(narrow, "instruction"),
+        answer_chars=length_histogram(narrow, "output"),
+        mean_chars=mean_lengths(narrow),
     )
 
 
 def publish(scored: DataFrame, key: str, out: str, test_size: int = 500) -> None:
-    """Error-free rows, published fields only, as train and test."""
-    rows = publish_fields(scored_ok(scored), key)
-    write_splits(train_test_split(rows, key, test_size).drop(key), out)
+    """Error-free rows, published fields only, as train and test, in seeded random order."""
+    rows = train_test_split(publish_fields(scored_ok(scored), key), key, test_size)
+    write_splits(seeded_shuffle(rows, key).drop(key), out)

@@ -50,6 +50,11 @@ def scratch_root(spark: SparkSession) -> str:
     return context._jsc.sc().getCheckpointDir().get().rstrip("/")
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the scratch folder."""
+    return f"{scratch_root(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
 def write_stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the scratch folder and return a reader of it.
 
@@ -63,13 +68,27 @@ def write_stage(df: DataFrame, name: str) -> DataFrame:
 def write_counted(df: DataFrame, name: str, count: Column | None = None) -> tuple[DataFrame, int]:
     """``write_stage`` and an aggregate, by default the row count, observed by the same job."""
     spark = df.sparkSession
-    path = f"{scratch_root(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, name)
     seen = Observation()
     counted = F.count(F.lit(1)) if count is None else count
     df.observe(seen, counted.alias("n")).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path), seen.get["n"] or 0
 
 
+def append_stage(df: DataFrame, path: str | None = None, name: str = "parts") -> str:
+    """Write ``df`` into the stage at ``path``, a new one without it; return its path."""
+    spark = df.sparkSession
+    path = path or scratch_path(spark, name)
+    df.write.mode("append").parquet(path)
+    return path
+
+
+def release_stages(spark: SparkSession) -> None:
+    """Delete this application's stages, once none of its results is read any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{scratch_root(spark)}/{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Give CPU-heavy steps one partition per core when the input is small.
 

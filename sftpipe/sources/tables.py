@@ -45,6 +45,13 @@ def latest(rows: DataFrame, key: str, at: str) -> DataFrame:
     return newest.select(key, "row.*").select(*rows.columns)
 
 
+def earliest(rows: DataFrame, key: str, at: str) -> DataFrame:
+    """The oldest row per key."""
+    values = [c for c in rows.columns if c != key]
+    oldest = rows.groupBy(key).agg(F.min_by(F.struct(*values), at).alias("row"))
+    return oldest.select(key, "row.*").select(*rows.columns)
+
+
 def visited(spark: SparkSession, root: str) -> DataFrame:
     return latest(read_table(spark, root, "visited"), "url", "at")
 
