@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,12 +13,19 @@ from sftpipe.functions.minhash import band_keys, band_shape, minhash_signature
 from sftpipe.operators import columns, dedup, ingest, judge, pages, quality, split, stats
 from sftpipe.plans import views
 from sftpipe.plans.build import Build, BuildConfig, build, clean_pairs, with_bands
-from sftpipe.session import spread, write_stage
+from sftpipe.plans.ingest import ingest_pages, runs
+from sftpipe.plans.scoring import apply_responses, publish
+from sftpipe.plans.scoring import distributions as scored_distributions
+from sftpipe.session import scratch_path, spread, write_stage
+from sftpipe.sources import tables
+from sftpipe.sources.readers import SCORED_SCHEMA, profile_files, read_csv, read_jsonl
 from sftpipe.sources.tables import store_totals
+from sftpipe.sources.writers import append_scored, write_csv, write_jsonl, write_report, write_splits
 
 # The benchmark tables hold no Han text, so their script class is any letter.
 RULE = quality.QualityRule(script_class=r"[\p{L}]", min_script_ratio=0.6)
 CONFIG = BuildConfig(quality=RULE, source="documents")
+RECORD_SCHEMA = "instruction string, input string, output string, source string"
 BANDS, ROWS = band_shape(CONFIG.threshold, CONFIG.num_perm)
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -265,7 +273,22 @@ def quote_page_records(spark, sf_dir):
 
 @query
 def book_rows(spark, sf_dir):
-    return pages.parse_books(spread(views.book_pages(spark, sf_dir), "page_key"))
+    return pages.book_rows(pages.parse_books(spread(views.book_pages(spark, sf_dir), "page_key")))
+
+
+@query
+def book_outcomes(spark, sf_dir):
+    parsed = pages.parse_books(spread(views.book_pages(spark, sf_dir), "page_key"))
+    return parsed.select("page_key", "url", "ok", "error", F.size("records").alias("books"))
+
+
+@query
+def pages_by_site(spark, sf_dir):
+    """Quote pages and web pages in one table; the column says which parser reads a page."""
+    quotes = views.quote_pages(spark, sf_dir).withColumn("site", F.lit("quotes"))
+    web = views.web_pages(spark, sf_dir).withColumn("site", F.lit("article"))
+    both = quotes.unionByName(web.withColumn("page_key", -1 - F.col("page_key")))
+    return pages.page_records(pages.parse_pages(both))
 
 
 @query
@@ -328,6 +351,151 @@ def ingest_totals(spark, sf_dir):
     return store_totals(_stored_quotes(spark, sf_dir, parsed), ingest.dead_letter_rows(parsed))
 
 
+@query
+def ingest_twice(spark, sf_dir):
+    """The store after three runs: two thirds of the pages, the same again, and all of them.
+
+    Two pages share a url, so runs skip pages by url and outcomes are upserted.
+    """
+    all_pages = views.quote_pages(spark, sf_dir).withColumn("url", views.shared_url())
+    early = all_pages.filter("page_key % 3 != 0")
+    root = scratch_path(spark, "store")
+    for n, batch in enumerate((early, early, all_pages)):
+        ingest_pages(batch, root, "quotes", now=datetime(2024, 1, 1 + n), run=f"run {n}")
+    kept = tables.records(spark, root).select(
+        F.lit("record").alias("kind"), F.col("content_hash").alias("key"), F.col("url").alias("value")
+    )
+    seen = tables.visited(spark, root).select(F.lit("visited"), "url", F.col("ok").cast("string"))
+    dead = tables.dead_letters(spark, root).select(F.lit("dead"), "url", "error")
+    counts = F.concat_ws(" ", "ok_pages", "dead_pages", "new_records")
+    done = runs(spark, root).select(F.lit("run"), "run", counts)
+    return kept.union(seen).union(dead).union(done)
+
+
+@query
+def csv_round_trip(spark, sf_dir):
+    """Documents as CSV files with columns in two orders, read back as one table in order."""
+    docs = views.table(spark, sf_dir, "documents").select(
+        F.col("doc_id").cast("string").alias("doc_id"), views.csv_text().alias("text"), "lang"
+    )
+    root = scratch_path(spark, "csv")
+    even = F.col("doc_id").cast("long") % 2 == 0
+    write_csv(docs.filter(even).orderBy(F.col("doc_id").cast("long")), f"{root}/a")
+    write_csv(docs.filter(~even).select("lang", "text", "doc_id").orderBy(F.col("doc_id").cast("long")), f"{root}/b")
+    back = read_csv(spark, f"{root}/*", order_key="place")
+    return split.numbered(back.orderBy("place"), "position").drop("place")
+
+
+@query
+def file_profile(spark, sf_dir):
+    """Profile of CSV files, one per language."""
+    root = scratch_path(spark, "profiles")
+    docs = views.table(spark, sf_dir, "documents")
+    langs = [r.lang for r in docs.select("lang").distinct().collect()]
+    for lang in langs:
+        part = docs.filter(F.col("lang") == lang).select("source", views.csv_text().alias("text"))
+        write_csv(part.coalesce(1), f"{root}/{lang}")
+    profiles, _ = profile_files(spark, [f"{root}/*/*.csv"])
+    folder = F.regexp_extract("path", r"/([^/]+)/[^/]+$", 1).alias("lang")
+    return profiles.select(folder, "column", "nulls", "rows", "columns", "distinct_rows", "duplicates")
+
+
+@query
+def jsonl_round_trip(spark, sf_dir):
+    """Scored rows appended in two rounds as JSON lines and read back."""
+    scored = _scored_table(spark, sf_dir)
+    path = scratch_path(spark, "scored-lines")
+    for part in (0, 1):
+        append_scored(scored.filter(F.col("doc_id") % 2 == part).drop("doc_id"), path)
+    back = read_jsonl(spark, path, SCORED_SCHEMA, order_key="place")
+    return back.groupBy(*[c for c in back.columns if c != "place"]).agg(
+        F.count("*").alias("copies"), F.countDistinct("place").alias("places")
+    )
+
+
+@query
+def publish_from_disk(spark, sf_dir):
+    """Build, score and publish through files: the published rows and their split sizes."""
+    root = scratch_path(spark, "published")
+    write_jsonl(_built(spark, sf_dir).records.drop("doc_id"), f"{root}/built")
+    records = read_jsonl(spark, f"{root}/built", RECORD_SCHEMA, order_key="row")
+    responses = records.select(
+        "row", F.lit(1).alias("attempt"), F.lit(None).cast("string").alias("error"),
+        F.when(F.length("output") % 7 != 0, views.length_scores()).otherwise("no").alias("content"),
+    )
+    apply_responses(records, responses, "row", f"{root}/scored")
+    publish(read_jsonl(spark, f"{root}/scored", SCORED_SCHEMA, order_key="row"), "row", f"{root}/hub", 20)
+    out = spark.read.parquet(f"{root}/hub")
+    test_rows = F.lit(out.filter("split = 'test'").count())
+    return out.select("instruction", "output", "complexity", test_rows.alias("test_rows"))
+
+
+@query
+def report_lines(spark, sf_dir):
+    path = scratch_path(spark, "report")
+    write_report(_built(spark, sf_dir).funnel, path)
+    return spark.read.text(path).select(F.col("value").alias("line"))
+
+
+@query
+def split_sizes(spark, sf_dir):
+    """Splits written and read back."""
+    rows = columns.publish_fields(stats.scored_ok(_scored_table(spark, sf_dir)), "doc_id")
+    path = scratch_path(spark, "splits")
+    write_splits(split.train_test_split(rows, "doc_id", 50), path)
+    return spark.read.parquet(path).select("doc_id", F.col("split").cast("string").alias("split"))
+
+
+@query
+def seeded_shuffle(spark, sf_dir):
+    docs = views.table(spark, sf_dir, "documents").select("doc_id")
+    return split.numbered(split.seeded_shuffle(docs, "doc_id"), "position")
+
+
+@query
+def seed_sample_of_lines(spark, sf_dir):
+    """The default sample, of a table with more rows than it takes."""
+    lines = views.table(spark, sf_dir, "lineitem").select(
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("line"), "l_quantity"
+    )
+    return split.seed_rows(lines, "line")
+
+
+@query
+def distributions(spark, sf_dir):
+    """All statistics from one read of the scored rows."""
+    found = scored_distributions(views.scored_documents(spark, sf_dir))
+    flat = lambda df, kind, key, value: df.select(
+        F.lit(kind).alias("kind"), F.col(key).cast("bigint").alias("at"), F.col(value).cast("double").alias("value")
+    )
+    parts = [
+        flat(found.overall, "overall", "bin", "rows"),
+        flat(found.question_chars, "question_chars", "bin", "rows"),
+        flat(found.answer_chars, "answer_chars", "bin", "rows"),
+        flat(found.high_quality, "high", "high_rows", "high_pct"),
+        flat(found.mean_chars.withColumn("zero", F.lit(0)), "mean", "zero", "mean_answer_chars"),
+        flat(found.scores.filter("dimension = 'clarity'"), "clarity", "score", "rows"),
+    ]
+    result = parts[0]
+    for part in parts[1:]:
+        result = result.unionByName(part)
+    return result
+
+
+@query
+def clean_odd_documents(spark, sf_dir):
+    """Cleaning of texts with full-width letters, controls and wide blanks."""
+    odd = views.table(spark, sf_dir, "documents").select("doc_id", views.odd_text().alias("text"))
+    return odd.select("doc_id", T.clean_text("text").alias("text"))
+
+
+@query
+def han_ratio(spark, sf_dir):
+    """Script ratio of texts with letters mapped to Han, and the prefix of 500."""
+    han = views.table(spark, sf_dir, "documents").select("doc_id", views.han_text().alias("text"))
+    return han.select("doc_id", T.script_ratio("text").alias("ratio"), T.prefix("text", 500).alias("head"))
+
+
 @query
 def fetch_summary(spark, sf_dir):
     return stats.fetch_summary(views.fetch_log(spark, sf_dir))

@@ -2,17 +2,31 @@
 
 from __future__ import annotations
 
-from sftpipe.functions.judge_json import PROMPT_HEAD, PROMPT_MIDDLE
 from sftpipe.functions.minhash import BASE, PRIME, permutation_coefficients
-from sftpipe.functions.text import PY_WHITESPACE
-from sftpipe.operators.pages import NO_TAGS
-from sftpipe.plans.checks import BANDS, CONFIG, ROWS, RULE
+from sftpipe.plans.checks import RULE
+
+# Fixed values, stated here again so that a slip on the other side shows.
+PROMPT_HEAD = """你是一名严格的法律数据质量评审。请对下面这条"法律问答"从三个维度打分(1-5 分,5 最好):
+- complexity:问题的专业性/复杂度(越是真实、有难度的法律问题分越高)
+- clarity:答案表达是否清晰、有条理
+- informativeness:答案信息量是否充足、是否真正解决问题
+
+只输出一个 JSON,不要任何多余文字,格式:
+{"complexity": 整数, "clarity": 整数, "informativeness": 整数, "reason": "一句话理由"}
+
+【问题】"""
+PROMPT_MIDDLE = "\n【答案】"
+NO_TAGS = "无"
+NUM_PERM, BANDS, ROWS = 64, 5, 11
+SPACE_POINTS = [
+    *range(9, 14), *range(28, 33), 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288,
+]
 
 # Whitespace left after control removal, as an RE2 class.
 _SPACES = (
     r"[\t\n\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
 )
-_STRIP = "||".join(f"chr({ord(c)})" for c in PY_WHITESPACE)
+_STRIP = "||".join(f"chr({c})" for c in SPACE_POINTS)
 
 
 def _clean(c: str) -> str:
@@ -36,7 +50,7 @@ raw as (
 
 CONVERSATION_PAIRS = """
 raw as (
-  select conv_id * 10000 + turn as k, text as question, next_text as answer
+  select conv_id * 4294967296 + turn as k, text as question, next_text as answer
   from (select *, lead(role) over w as next_role, lead(text) over w as next_text
         from conversations window w as (partition by conv_id order by turn))
   where role = 'user' and next_role = 'assistant')"""
@@ -150,18 +164,22 @@ judged as (
       when 3 then {_object(_C, _L, _REASON)}
       when 4 then '{{"complexity": 5, "clarity": 4, "informativeness": 4, "output": "rewritten"}}'
       when 5 then {_object("9", _L, "', " + '"informativeness": 0' + "'")}
+      when 6 then {_object(_C, _L, _INFO + " || ', " + '"reason": null, "output": null' + "'")}
+      when 7 then {_object(_C, _L, _INFO + " || ', " + '"_error": null' + "'")}
       else {_object(_C, _L, _INFO + " || " + _REASON)} end as good
   from documents left join labels using (doc_id)),
 responses as (
   select doc_id, 1 as attempt,
-    case trouble when 0 then null when 1 then 'no scores today' when 2 then '[1, 2, 3]' else good end
-      as content,
+    case trouble when 0 then null when 1 then 'no scores today' when 2 then '[1, 2, 3]'
+      when 4 then '{{"complexity": 3' else good end as content,
     case when trouble = 0 then 'HTTPError: 503 Server Error' end as error
-  from judged
+  from judged where doc_id % 17 <> 5
   union all
   select doc_id, 2, case when doc_id % 2 = 0 then good when doc_id % 3 = 0 then '"fine"'
     else '{{"complexity": 3' end, null
-  from judged where trouble < 3),
+  from judged where trouble < 3 and doc_id % 17 <> 5
+  union all
+  select doc_id, 4, good, null from judged where trouble = 4 or doc_id % 17 = 5),
 checked as (
   select *, case when error is not null then error
     when not json_valid(content) then 'JSONDecodeError: the response is not valid JSON'
@@ -189,9 +207,12 @@ def _number(field: str) -> str:
 SCORED = f"""{DOCUMENT_PAIRS},{RESPONSES},
 scored as materialized (
   select doc_id, question as instruction, '' as input,
-    coalesce(json_extract_string(content, '$.output'), answer) as output, 'documents' as source,
+    case when json_exists(content, '$.output') then json_extract_string(content, '$.output')
+      else answer end as output, 'documents' as source,
     {_number('complexity')}, {_number('clarity')}, {_number('informativeness')},
-    json_extract_string(content, '$.reason') as reason, _error
+    json_extract_string(content, '$.reason') as reason,
+    case when json_exists(content, '$._error')
+      then coalesce(json_extract_string(content, '$._error'), 'null') else _error end as _error
   from raw join picked on raw.k = picked.doc_id),
 ok as (select *, (complexity + clarity + informativeness) / 3 as overall
        from scored where _error is null)"""
@@ -243,7 +264,7 @@ _BY_STRIP = f"trim({{}}, {_STRIP})"
 
 QUOTES = f"""{DOCUMENT_PAIRS},
 quotes as (
-  select k as page_key, 0 as position, lang, question as t,
+  select k as page_key, 0 as position, lang, {_BY_STRIP.format('question')} || 'end' as t,
     '—— ' || {_BY_STRIP.format('source')} || '(标签:' || lang || ', text)' as answer
   from raw join documents on k = doc_id
   union all
@@ -276,6 +297,10 @@ def _markup_text(markup: str) -> str:
     return f"trim({text}, {_STRIP})"
 
 
+_CSV_TEXT = """case when doc_id % 10 in (3, 4) then null
+  else replace(text, '. ', '",' || chr(10) || '"') end"""
+
+
 def oracle() -> dict[str, str]:
     dims = ("complexity", "clarity", "informativeness")
     histogram_rows = " union all ".join(
@@ -312,8 +337,8 @@ from (select doc_id, replace(text, ' ', '') as t, string_split(replace(text, ' '
       from documents)""",
         "minhash_signatures": f"""
 with docs as (select doc_id as k, text from documents),{_hashes('docs', 'text')},
-{_minima(CONFIG.num_perm)}
-select k as doc_id, concat_ws(',', {', '.join(f'm{i}' for i in range(CONFIG.num_perm))}) as minima
+{_minima(NUM_PERM)}
+select k as doc_id, concat_ws(',', {', '.join(f'm{i}' for i in range(NUM_PERM))}) as minima
 from minima""",
         "minhash_bands": f"""
 with docs as (select doc_id as k, text from documents),{_hashes('docs', 'text')},
@@ -396,7 +421,84 @@ from (select count(*) as n from documents),
         "select page_key, position, url, source, question, answer from found",
         "book_rows": """
 select doc_id as page_key, 0 as position, text as title, '£' || n_chars || '.00' as price,
-  'In ' || lang || ' stock' as stock from documents""",
+  'In ' || lang || ' stock' as stock from documents where lang <> 'fr'""",
+        "book_outcomes": f"""
+select doc_id as page_key, 'https://books.example/' || doc_id as url, lang <> 'fr' as ok,
+  case when lang = 'fr' then '{_MISSING}' end as error, case when lang <> 'fr' then 1 end as books
+from documents""",
+        "pages_by_site": f"""with {QUOTES}
+select page_key, position, url, source, question, answer from found
+union all
+select -1 - page_id, 0, url, 'article_page', question, answer
+from (select *, {_markup_text("regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1)")} as question,
+        {_markup_text(_ARTICLE)} as answer from pages)
+where question <> '' and answer <> ''""",
+        "ingest_twice": f"""with {QUOTES},
+held as (
+  select doc_id as page_key, 'https://quotes.example/' || (doc_id // 2) as u, doc_id % 3 = 0 as late,
+    lang <> 'es' as ok from documents),
+done as (select * from held where not late or u not in (select u from held where not late)),
+kept as (
+  select * from (select content_hash, u, late,
+      row_number() over (partition by content_hash order by late, page_key, position) as n
+    from found join done using (page_key)) where n = 1)
+select 'record' as kind, content_hash as key, u as value from kept
+union all
+select 'visited', u, case when arg_max(ok, page_key) then '1' else '0' end from done group by u
+union all
+select distinct 'dead', u, '{_MISSING}' from done where not ok
+union all
+select 'run', 'run ' || n_,
+  (select count(*) from done where ok and late = (n_ = 2) and n_ <> 1)
+  || ' ' || (select count(*) from done where not ok and late = (n_ = 2) and n_ <> 1)
+  || ' ' || (select count(*) from kept where late = (n_ = 2) and n_ <> 1)
+from (select unnest([0, 1, 2]) as n_)""",
+        "csv_round_trip": f"""
+select doc_id::varchar as doc_id, {_CSV_TEXT} as text, lang,
+  row_number() over (order by doc_id % 2, doc_id) - 1 as position from documents""",
+        "file_profile": f"""
+with t as (select lang, source, {_CSV_TEXT} as text from documents),
+n as (select lang, count(*) as rows, count(*) - count(source) as no_source, count(*) - count(text) as no_text
+      from t group by lang),
+d as (select lang, count(*) as distinct_rows from (select distinct * from t) group by lang)
+select lang, x as "column", case x when 'text' then no_text else no_source end as nulls, rows,
+  2 as columns, distinct_rows, rows - distinct_rows as duplicates
+from n join d using (lang), (select unnest(['source', 'text']) as x)""",
+        "jsonl_round_trip": _scored("""
+select instruction, input, output, source, complexity, clarity, informativeness, reason, _error,
+  count(*) as copies, count(*) as places from scored group by all"""),
+        "publish_from_disk": _build(DOCUMENT_PAIRS, """
+select question as instruction, answer as output, (length(answer) % 5 + 1)::double as complexity,
+  20 as test_rows from staged where drop_stage = 'kept' and length(answer) % 7 <> 0"""),
+        "report_lines": _build(DOCUMENT_PAIRS, f"""
+select unnest(['# Data quality report', '', '- raw rows: ' || raw_rows,
+  '- after empty filter: ' || after_clean,
+  '- after exact dedup: ' || after_exact || format(' ({{:.1f}}% removed)', exact_dup_pct),
+  '- after near dedup: ' || after_near || format(' ({{:.1f}}% removed)', near_dup_pct),
+  '- after quality filter: ' || final_rows, format('- overall yield: {{:.1f}}%', yield_pct),
+  format('- mean question length: {{:.0f}}', mean_question_chars),
+  format('- mean answer length: {{:.0f}}', mean_answer_chars)]) as line
+from ({FUNNEL})"""),
+        "split_sizes": _scored("""
+select doc_id, case when row_number() over (order by md5('42' || doc_id), doc_id) <= 50
+  then 'test' else 'train' end as split from ok"""),
+        "seeded_shuffle": """
+select doc_id, row_number() over (order by md5('42' || doc_id), doc_id) - 1 as position from documents""",
+        "seed_sample_of_lines": """
+select l_orderkey * 8 + l_linenumber as line, l_quantity from lineitem order by line limit 20000""",
+        "distributions": f"""
+select 'overall' as kind, bin as at, rows::double as value from ({_histogram("overall", 20)})
+union all select 'question_chars', bin, rows from ({_histogram("length(instruction)", 50)})
+union all select 'answer_chars', bin, rows from ({_histogram("length(output)", 50)})
+union all ({_scored("""select 'high', count(*) filter (overall >= 4),
+  count(*) filter (overall >= 4) / nullif(count(overall), 0)::double * 100 from ok""")})
+union all ({_scored("select 'mean', 0, avg(length(output)) from ok")})
+union all ({_scored("select 'clarity', s, count(*) filter (clarity = s) from ok,"
+           " (select unnest([1, 2, 3, 4, 5]) as s) group by s")})""",
+        "clean_odd_documents": f"select doc_id, {_clean("replace(text, 'o', 'o ')")} as text from documents",
+        "han_ratio": f"""
+select doc_id, {_ratio('text', 'aeiou')} as ratio,
+  substr(translate(text, 'aeiou', '法律问答题'), 1, 500) as head from documents""",
         "article_page_records": f"""
 select page_id as page_key, 0 as position, url, 'article_page' as source, question, answer
 from (select *, {_markup_text("regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1)")} as question,

@@ -46,7 +46,7 @@ def conversations_qa(spark: SparkSession, sf_dir: str) -> DataFrame:
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("answer")
     )
     return asked.join(replied, ["conv_id", "turn"]).select(
-        (F.col("conv_id") * 10_000 + F.col("turn")).alias("turn_key"), "question", "answer"
+        (F.shiftleft("conv_id", 32) + F.col("turn")).alias("turn_key"), "question", "answer"
     )
 
 
@@ -58,7 +58,8 @@ def judge_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, attempt, content, error): judge answers derived from documents and labels.
 
     They cover good and bad JSON, floats, texts and booleans as scores, missing
-    scores, overridden record fields, failed calls and retries.
+    scores, overridden record fields, null fields, failed calls and retries, among them
+    records whose first good or only response is the fourth.
     """
     docs = table(spark, sf_dir, "documents").select("doc_id", "n_chars")
     rated = docs.join(table(spark, sf_dir, "labels"), "doc_id", "left")
@@ -81,12 +82,15 @@ def judge_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == 3, answer(complexity, clarity, None, reason))
         .when(kind == 4, answer(F.lit("5"), F.lit("4"), F.lit("4"), ', "output": "rewritten"'))
         .when(kind == 5, answer(F.lit("9"), clarity, F.lit("0"), ""))
+        .when(kind == 6, answer(complexity, clarity, information, ', "reason": null, "output": null'))
+        .when(kind == 7, answer(complexity, clarity, information, ', "_error": null'))
         .otherwise(answer(complexity, clarity, information, reason))
     )
     trouble = F.col("doc_id") % 11
     first = (
         F.when(trouble == 1, F.lit("no scores today"))
         .when(trouble == 2, F.lit("[1, 2, 3]"))
+        .when(trouble == 4, F.lit('{"complexity": 3'))
         .when(trouble != 0, good)
     )
     second = (
@@ -105,8 +109,19 @@ def judge_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
             second.alias("content"),
             F.lit(None).cast("string").alias("error"),
         ),
+        F.struct(
+            F.lit(4).alias("attempt"),
+            good.alias("content"),
+            F.lit(None).cast("string").alias("error"),
+        ),
     )
-    return rated.select("doc_id", F.inline(F.filter(attempts, lambda a: (a.attempt == 1) | (trouble < 3))))
+    only_fourth = F.col("doc_id") % 17 == 5
+    held = lambda a: (
+        F.when(a.attempt == 4, only_fourth | (trouble == 4))
+        .when(a.attempt == 2, ~only_fourth & (trouble < 3))
+        .otherwise(~only_fourth)
+    )
+    return rated.select("doc_id", F.inline(F.filter(attempts, held)))
 
 
 def scored_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,7 +143,7 @@ def quote_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     html = F.concat(
         F.lit('<html><body><div class="quote big"><span class="text">'),
         _escaped(F.col("question")),
-        F.lit('</span><br>by <small class="author"> '),
+        F.lit(' <!-- <b>no</b> --> end</span><br>by <small class="author"> '),
         _escaped(F.col("source")),
         F.lit(' </small><div class="tags"><a class="tag">'),
         F.col("lang"),
@@ -146,19 +161,53 @@ def quote_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def shared_url() -> Column:
+    """A url that two neighbouring pages share."""
+    return F.concat(F.lit("https://quotes.example/"), F.floor(F.col("page_key") / 2).cast("string"))
+
+
+def csv_text() -> Column:
+    """Document texts with quotes, line breaks and texts that count as missing."""
+    return (
+        F.when(F.col("doc_id") % 10 == 3, F.lit("NA"))
+        .when(F.col("doc_id") % 10 == 4, F.lit(""))
+        .otherwise(F.replace(F.col("text"), F.lit(". "), F.lit('",\n"')))
+    )
+
+
+def odd_text() -> Column:
+    """Document texts with full-width letters, control characters and wide blanks."""
+    wide = F.translate("text", "abcdeh.", "ａｂｃｄｅｈ．")
+    return F.concat(F.lit("\x07\u3000"), F.replace(wide, F.lit("o"), F.lit("o\x0c\x1f\u00a0")))
+
+
+def han_text() -> Column:
+    return F.translate("text", "aeiou", "法律问答题")
+
+
+def length_scores() -> Column:
+    """A judge's answer that only depends on the answer's length."""
+    score = (F.length("output") % 5 + 1).cast("string")
+    return F.concat(F.lit('{"complexity": '), score, F.lit(', "clarity": 4, "informativeness": 3}'))
+
+
 def book_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(page_key, html): a book list page per document."""
+    """(page_key, url, html): a book list page per document; French ones lack the price."""
     docs = table(spark, sf_dir, "documents")
     html = F.concat(
         F.lit('<ol><li><article class="product_pod"><h3><a href="#" title="'),
         F.replace(_escaped(F.col("text")), F.lit('"'), F.lit("&quot;")),
-        F.lit('">short</a></h3><p class="price_color">£'),
-        F.col("n_chars").cast("string"),
-        F.lit('.00</p><p class="instock availability">\n    <i class="icon-ok"></i>\n   In '),
+        F.lit('">short</a></h3>'),
+        F.when(
+            F.col("lang") != "fr",
+            F.concat(F.lit('<p class="price_color">£'), F.col("n_chars").cast("string"), F.lit(".00</p>")),
+        ).otherwise(""),
+        F.lit('<p class="instock availability">\n    <i class="icon-ok"></i>\n   In '),
         F.col("lang"),
         F.lit(" stock \n</p></article></ol>"),
     )
-    return docs.select(F.col("doc_id").alias("page_key"), html.alias("html"))
+    url = F.concat(F.lit("https://books.example/"), F.col("doc_id").cast("string"))
+    return docs.select(F.col("doc_id").alias("page_key"), url.alias("url"), html.alias("html"))
 
 
 def web_pages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -39,10 +39,51 @@ def test_read_csv_order_follows_files_then_rows(spark, tmp_path):
 
 
 def test_missing_file_is_an_error(spark, tmp_path):
-    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+    with pytest.raises(FileNotFoundError, match="none.csv"):
         read_csv(spark, str(tmp_path / "none.csv"))
 
 
+def test_files_with_other_headers_are_joined_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("question,answer\nq1,a1\n")
+    (tmp_path / "b.csv").write_text("\ufeffanswer,question\na2,q2\nonly\n")
+    (tmp_path / "c.csv").write_text('"ques""tion",answer,question\nx,a3,q3\n')
+    df = read_csv(spark, str(tmp_path / "*.csv"), order_key="k")
+    got = df.orderBy("k").select("question", "answer", F.col('`ques"tion`')).collect()
+    assert [tuple(r) for r in got] == [("q1", "a1", None), ("q2", "a2", None), (None, "only", None), ("q3", "a3", "x")]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
+
+
+def test_a_row_with_more_cells_than_the_header_is_an_error(spark, tmp_path):
+    (tmp_path / "bad.csv").write_text("question,answer\nq1,a1\nq2,a2,EXTRA,MORE\n")
+    for df in (read_csv(spark, str(tmp_path)), read_csv(spark, str(tmp_path / "bad.csv"), "k").select("k")):
+        with pytest.raises(Exception, match="more cells than the header has.*bad.csv: q2,a2,EXTRA"):
+            df.collect()
+
+
+def test_jsonl_order_key_follows_files_and_lines(spark, tmp_path):
+    for name, size in (("b", 300), ("a", 40), ("c", 1)):
+        (tmp_path / f"{name}.json").write_text("".join(f'{{"v": "{name}{i}"}}\n' for i in range(size)))
+    rows = read_jsonl(spark, str(tmp_path), "v string", order_key="k").orderBy("k").collect()
+    want = [f"{n}{i}" for n, s in (("a", 40), ("b", 300), ("c", 1)) for i in range(s)]
+    assert [(r.k, r.v) for r in rows] == list(enumerate(want))
+
+
+def test_profile_counts_nan_and_skips_files_that_break_halfway(spark, tmp_path):
+    import gzip
+
+    from sftpipe.operators.stats import profile
+
+    table = spark.createDataFrame([(1.0,), (float("nan"),), (None,)], "x double")
+    assert profile(table).first().nulls == 2
+    (tmp_path / "good.csv").write_text("a,b\n1,\n")
+    whole = gzip.compress(b"a,b\n" + b"".join(b"%d,x%d\n" % (i, i * 7919) for i in range(40_000)))
+    (tmp_path / "cut.csv.gz").write_bytes(whole[: len(whole) // 2])
+    profiles, skipped = profile_files(spark, [str(tmp_path / "*")])
+    assert {(r.path[-8:], r.column, r.nulls) for r in profiles.collect()} == {("good.csv", "a", 0), ("good.csv", "b", 1)}
+    assert [p[-10:] for p, _ in skipped] == ["cut.csv.gz"]
+
+
 def test_profile_files(spark, tmp_path):
     (tmp_path / "one.csv").write_text("a,b\n1,\n1,\n2,x\n")
     (tmp_path / "two.csv").write_text("c\nNA\n")

@@ -58,11 +58,29 @@ def test_retries_first_good_else_last_error(spark):
     rows = [
         (1, 1, None, "Timeout: 1"), (1, 2, '{"clarity": 2}', None), (1, 3, '{"clarity": 5}', None),
         (2, 1, "x", None), (2, 2, None, "Timeout: 2"), (2, 4, '{"clarity": 1}', None),
+        (3, 4, '{"clarity": 4}', None), (4, 7, None, "Timeout: 7"),
     ]
-    got = sorted(pick_responses(spark.createDataFrame(rows, RESPONSE), "k").collect())
+    responses = spark.createDataFrame(rows, RESPONSE)
+    got = sorted(pick_responses(responses, "k").collect())
+    assert [tuple(r) for r in got] == [
+        (1, '{"clarity": 2}', None), (2, '{"clarity": 1}', None), (3, '{"clarity": 4}', None), (4, None, "Timeout: 7"),
+    ]
+    got = sorted(pick_responses(responses, "k", retries=3).collect())
     assert [tuple(r) for r in got] == [(1, '{"clarity": 2}', None), (2, None, "Timeout: 2")]
 
 
+def test_null_fields_win_and_a_null_error_is_an_error(spark):
+    rows = scored(
+        spark,
+        '{"complexity": 3, "reason": null, "output": null}',
+        '{"complexity": 3, "_error": null}',
+        '{"complexity": 3}',
+    )
+    assert [(r.output, r.reason, r._error) for r in rows] == [
+        (None, None, None), ("answer 1", None, "null"), ("answer 2", None, None),
+    ]
+
+
 def test_pending_records(spark):
     todo = records(spark, "done", "failed", "new", "done", "both")
     past = spark.createDataFrame(
@@ -97,8 +115,9 @@ def test_two_rounds_resume_and_report(spark, tmp_path):
     shown = distributions(done)
     assert shown.high_quality.first().high_rows == 1
     assert shown.mean_chars.first().mean_question_chars == 1.0
-    keyed = done.withColumnRenamed("reason", "k")
-    publish(keyed.fillna("x", ["k"]), "k", str(tmp_path / "hub"), test_size=1)
+    keyed = read_jsonl(spark, out, SCORED_SCHEMA, order_key="k")
+    assert sorted(r.k for r in keyed.collect()) == [0, 1, 2]
+    publish(keyed, "k", str(tmp_path / "hub"), test_size=1)
     splits = {r.split: r["count"] for r in spark.read.parquet(str(tmp_path / "hub")).groupBy("split").count().collect()}
     assert splits == {"train": 1, "test": 1}
     apply_responses(todo, first, "k", out, overwrite=True)

@@ -3,7 +3,7 @@ from datetime import datetime
 import pytest
 
 from sftpipe.operators.ingest import unseen_pages
-from sftpipe.operators.pages import SITES, page_records, parse_books, parse_pages
+from sftpipe.operators.pages import SITES, Pick, Site, book_rows, page_records, parse_books, parse_pages
 from sftpipe.plans.ingest import ingest_pages, runs
 from sftpipe.sources import tables
 from sftpipe.streaming.ingest import stream_pages
@@ -63,15 +63,19 @@ def test_article_without_parts_gives_no_record(spark):
 
 
 def test_registered_parser_and_long_error(spark):
-    def explode(root):
-        raise RuntimeError("x" * 900)
-
-    SITES["broken"] = ("broken", explode)
+    pick = Pick((("span",),), attribute="x" * 900)
+    SITES["broken"] = Site("broken", {"question": pick, "answer": pick}, {"question": "{question}", "answer": "{answer}"})
     try:
         row = parse_pages(df(spark, PAGES[:1]), "broken").first()
     finally:
         del SITES["broken"]
-    assert not row.ok and len(row.error) == 500 and row.error.startswith("RuntimeError: x")
+    assert not row.ok and len(row.error) == 500 and row.error.startswith("KeyError: 'x")
+
+
+def test_comments_end_a_piece_of_text(spark):
+    html = '<div class="quote"><span class="text">a <!-- c --> b<?x?> c</span><small class="author">A</small></div>'
+    rows = page_records(parse_pages(df(spark, [(1, "u", html)]), "quotes")).collect()
+    assert [r.question for r in rows] == ["abc"]
 
 
 def test_books(spark):
@@ -81,7 +85,9 @@ def test_books(spark):
         "</article>"
     )
     pages = df(spark, [(1, "u", f"<ol><li>{pod}<li>{pod}</ol>"), (2, "v", pod.replace("title=", "t="))])
-    rows = [tuple(r)[1:] for r in parse_books(pages).orderBy("position").collect()]
+    parsed = parse_books(pages)
+    assert {r.page_key: r.error for r in parsed.collect()} == {1: None, 2: "KeyError: 'title'"}
+    rows = [tuple(r)[1:] for r in book_rows(parsed).orderBy("position").collect()]
     assert rows == [(i, "Title & more", "£51.77", "In stock") for i in range(2)]
 
 
@@ -117,6 +123,11 @@ def test_ingest_twice_equals_once(spark, tmp_path):
     totals = tables.store_totals(tables.records(spark, root), tables.dead_letters(spark, root))
     assert tuple(totals.first()) == (4, 2)
     assert runs(spark, root).count() == 3
+    again = ingest_pages(df(spark, more), str(tmp_path / "other"), "quotes").first()
+    (tmp_path / "other" / "visited").rename(tmp_path / "gone")
+    assert tuple(ingest_pages(df(spark, more), str(tmp_path / "other"), "quotes").first())[2] == 0
+    (row,) = runs(spark, str(tmp_path / "other")).collect()
+    assert (row.ok_pages, row.dead_pages, row.new_records) == tuple(again)
 
 
 def test_ingest_limit_and_restart_after_lost_visited(spark, tmp_path):

@@ -9,7 +9,7 @@ import pytest
 import __spark_entry__ as contract
 
 SF_DIR = "/root/testdata/sf0.001"
-TABLES = "documents labels conversations pages events".split()
+TABLES = "documents labels conversations pages events lineitem".split()
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="benchmark tables not present")
 
 
