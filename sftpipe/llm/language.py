@@ -95,6 +95,8 @@ def fit(samples: dict[str, bytes]) -> tuple:
 def learn(df: DataFrame, key: str, text: str, label: str) -> tuple:
     """Fit on the labelled rows of ``df``."""
     labelled = df.filter(df[label].isNotNull() & df[text].isNotNull())
+    if labelled.select(label).distinct().limit(MAX_LANGUAGES + 1).count() > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
     place = F.xxhash64(id_text(key), F.length(text))
     order = Window.partitionBy("label").orderBy("place", "key")
     # Ids are picked first, so that texts are not sorted; each task sends the first few.
@@ -113,7 +115,6 @@ def learn(df: DataFrame, key: str, text: str, label: str) -> tuple:
             F.left(F.col(text), F.lit(SAMPLE_BYTES)).alias("text"),
         )
         .join(F.broadcast(picked), ["label", "key", "place"], "left_semi")
-        .limit(SAMPLE_ROWS * MAX_LANGUAGES + 1)
         .collect()
     )
     samples: dict[str, bytes] = {}
@@ -121,8 +122,6 @@ def learn(df: DataFrame, key: str, text: str, label: str) -> tuple:
         known = samples.setdefault(row["label"], b"")
         if len(known) < SAMPLE_BYTES:
             samples[row["label"]] = (known + reduced(row["text"]) + b" ")[:SAMPLE_BYTES]
-    if len(samples) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
     return fit(samples)
 
 
