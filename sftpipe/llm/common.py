@@ -33,6 +33,19 @@ def id_text(key: str) -> Column:
     return F.coalesce(F.col(key).cast("string"), F.lit(""))
 
 
+def count_at_most(bounds: Column, size: int, value: Column) -> Column:
+    """How many of the ``size`` ascending numbers in the array ``bounds`` are at most ``value``.
+
+    A binary search: the array is read once per halving.
+    """
+    steps = [1 << i for i in reversed(range(size.bit_length()))]
+    return F.aggregate(
+        F.array(*map(F.lit, steps)),
+        F.lit(0),
+        lambda at, step: F.when(F.get(bounds, at + step - 1) <= value, at + step).otherwise(at),
+    )
+
+
 def map_texts(
     df: DataFrame,
     schema: str,

@@ -14,8 +14,9 @@ Each source's blocks are permuted and every shard takes its own range of places,
 draws are disjoint. Within a shard rows are ordered by another hash. No step sorts all rows.
 
 The sources are those of a mixture, a table of weights: it is counted first, and more than
-``MAX_SOURCES`` are refused. The driver holds one row per source and the quotas per source
-and shard. Blocks per source are at most ``MAX_BLOCKS``, whatever the data.
+``MAX_SOURCES`` are refused. The driver holds one row per source and at most ``MOST_QUOTAS``
+quotas per source and shard. Shards have about ``SHARD_WORDS`` words and are at most
+``MOST_SHARDS``, blocks at most ``MAX_BLOCKS`` per source; beyond that both get larger.
 
 Defined cases: a null text has no words and is drawn with no words; a null source is a
 source of its own and comes last; a null key is allowed; repeated rows are rows like any
@@ -33,16 +34,18 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sftpipe.llm.common import WORD, filled, fresh_name
+from sftpipe.llm.common import WORD, count_at_most, filled, fresh_name
 from sftpipe.session import write_stage
 
 WEIGHTS = (5.0, 2.0, 1.0)
 TOTAL_SHARE = 1.5
 MAX_REPEATS = 2
-BLOCK_WORDS = 200_000
+BLOCK_WORDS = 100_000
 MAX_BLOCKS = 65_536
 MAX_SOURCES = 100_000
-SHARDS = 16
+#: Words in a shard; beyond the bounds shards get larger, and the driver's table does not.
+SHARD_WORDS = 1_000_000
+LEAST_SHARDS, MOST_SHARDS, MOST_QUOTAS = 16, 65_536, 4_000_000
 SEED = 7
 
 
@@ -128,7 +131,7 @@ def mix(
     source: str,
     weights: Sequence[float] = WEIGHTS,
     total_share: float = TOTAL_SHARE,
-    shards: int = SHARDS,
+    shards: int | None = None,
     block_words: int = BLOCK_WORDS,
     seed: int = SEED,
 ) -> Mix:
@@ -154,6 +157,9 @@ def mix(
         sizes, [weights[i % len(weights)] for i in range(len(found))], total_share * sum(sizes)
     )
 
+    if shards is None:
+        wanted = min(max(round(sum(targets)) // SHARD_WORDS, LEAST_SHARDS), MOST_SHARDS)
+        shards = max(1, min(wanted, MOST_QUOTAS // max(len(found), 1)))
     rows = []
     for number, (r, target) in enumerate(zip(found, targets)):
         words, size = round(target), r["source_size"]
@@ -191,8 +197,15 @@ def mix(
     quota_table = spark.createDataFrame(
         plan_rows, "number int, cut int, before bigint, quota bigint, step bigint, bounds array<bigint>"
     )
-    joined = placed.join(F.broadcast(quota_table), "number")
 
+    def shard(epoch: int) -> Column:
+        """The shard whose range has the place of this block's copy among the source's permuted draws."""
+        slot = F.pmod((F.lit(epoch) * F.col("blocks") + F.col("block")) * F.col("step"), F.col("quota"))
+        return count_at_most(F.col("bounds"), shards, slot).alias(f"shard_{epoch}")
+
+    joined = placed.join(F.broadcast(quota_table), "number").select(
+        *placed.columns, "cut", "before", *[shard(e) for e in range(MAX_REPEATS)]
+    )
     inside = joined.filter(F.col("block") == F.col("cut"))
     ordered = Window.partitionBy("number").orderBy("place", "key", "size").rowsBetween(Window.unboundedPreceding, -1)
     earlier = F.col("before") + F.coalesce(F.sum("size").over(ordered), F.lit(0))
@@ -202,11 +215,8 @@ def mix(
     counted = outside.withColumn("last", whole).unionByName(inside.withColumn("last", partial))
 
     def drawn(epoch: int, words: Column) -> Column:
-        """A copy: its block's place in the permuted draws of the source, and the shard whose range has it."""
-        slot = F.pmod((F.lit(epoch) * F.col("blocks") + F.col("block")) * F.col("step"), F.col("quota"))
-        shard = F.size(F.filter("bounds", lambda b: b <= slot))
         return F.struct(
-            shard.alias("shard"),
+            F.col(f"shard_{epoch}").alias("shard"),
             F.xxhash64("place", F.lit(seed), F.lit(epoch)).alias("place"),
             words.alias("words"),
         )

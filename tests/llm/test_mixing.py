@@ -84,6 +84,16 @@ def test_mixed_rows_are_what_the_plan_draws(odd_docs, odd_rows):
         assert any((t or "").startswith(r.text) for i, t in whole if i == r.doc_id)
 
 
+def test_shards_grow_with_the_mix(odd_docs, monkeypatch):
+    monkeypatch.setattr(mixing, "SHARD_WORDS", 1_000)
+    found = mixing.mix(odd_docs, "doc_id", "text", "source", block_words=100).plan.collect()
+    words_of = Counter()
+    for r in found:
+        for d in r.draws:
+            words_of[d.shard] += d.words
+    assert mixing.LEAST_SHARDS < max(words_of) < sum(words_of.values()) // 1_000
+
+
 def test_empty_table(no_docs):
     assert mixing.mix(no_docs, "doc_id", "text", "source").plan.collect() == []
     assert mixing.mixed_rows(no_docs, "doc_id", "text", "source").collect() == []
