@@ -7,6 +7,8 @@ that may be repeated without harm.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,6 +54,30 @@ def earliest(rows: DataFrame, key: str, at: str) -> DataFrame:
     return oldest.select(key, "row.*").select(*rows.columns)
 
 
+def compact(spark: SparkSession, root: str, name: str, files: int = 1) -> None:
+    """Put a table that is keyed when read (not ``records``) into ``files`` files.
+
+    The new files are moved in before the old ones go, so a reader or a crash in between
+    meets rows twice, which the keyed views ignore. No writer may run meanwhile.
+    """
+    keyed = {"visited": (latest, "url", "at"), "dead_letters": (latest, "url", "failed_at"), "runs": (earliest, "run", "at")}
+    view, key, at = keyed[name]
+    place = spark._jvm.org.apache.hadoop.fs.Path(table_path(root, name))
+    system = place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if not system.exists(place):
+        return
+    old = [s.getPath() for s in system.listStatus(place)]
+    fresh = f"{table_path(root, name)}-compacting-{uuid.uuid4().hex}"
+    view(read_table(spark, root, name), key, at).coalesce(files).write.parquet(fresh)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(fresh)
+    for status in system.listStatus(folder):
+        if status.getPath().getName().startswith("part-"):
+            system.rename(status.getPath(), place)
+    for path in old:
+        system.delete(path, False)
+    system.delete(folder, True)
+
+
 def visited(spark: SparkSession, root: str) -> DataFrame:
     return latest(read_table(spark, root, "visited"), "url", "at")
 

@@ -130,6 +130,19 @@ def test_ingest_twice_equals_once(spark, tmp_path):
     assert (row.ok_pages, row.dead_pages, row.new_records) == tuple(again)
 
 
+def test_compaction_keeps_what_the_tables_say(spark, tmp_path):
+    root = str(tmp_path / "store")
+    for n in (1, 3, 5):
+        ingest_pages(df(spark, PAGES[:n]), root, "quotes")
+    before, done = snapshot(spark, root), sorted(map(tuple, runs(spark, root).collect()))
+    for name in ("visited", "dead_letters", "runs"):
+        tables.compact(spark, root, name)
+        assert len(list((tmp_path / "store" / name).glob("part-*"))) == 1
+    assert snapshot(spark, root) == before and sorted(map(tuple, runs(spark, root).collect())) == done
+    assert tuple(ingest_pages(df(spark), root, "quotes").first()) == (0, 0, 0)
+    tables.compact(spark, str(tmp_path / "none"), "visited")
+
+
 def test_ingest_limit_and_restart_after_lost_visited(spark, tmp_path):
     root = str(tmp_path / "store")
     assert tuple(ingest_pages(df(spark), root, "quotes", limit=2).first()) == (2, 0, 2)
