@@ -16,6 +16,7 @@ from sftpipe.functions.judge_json import (
     text_field,
 )
 from sftpipe.operators.joins import not_seen
+from sftpipe.session import allow_repeated_keys
 
 RECORD_FIELDS = ("instruction", "input", "output", "source")
 
@@ -42,6 +43,7 @@ def pick_responses(responses: DataFrame, key: str, retries: int | None = None) -
     failed call, null otherwise). How often to ask is the client's business: all stored
     attempts count, unless ``retries`` leaves out later ones.
     """
+    allow_repeated_keys(responses.sparkSession)
     tried = responses if retries is None else responses.filter(F.col("attempt") <= retries)
     checked = tried.select(
         key,
@@ -67,6 +69,7 @@ def attach_scores(records: DataFrame, picked: DataFrame, key: str) -> DataFrame:
     ``key`` is unique on both sides. Records without any response are left out:
     they are still to do.
     """
+    allow_repeated_keys(records.sparkSession)
     joined = records.select(key, *RECORD_FIELDS).join(picked, key)
     parsed = joined.withColumn("v", parse_response(F.col("content")))
     v = F.col("v")

@@ -31,6 +31,14 @@ def get_spark(app_name: str = "sftpipe", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+def allow_repeated_keys(spark: SparkSession) -> None:
+    """Let JSON objects repeat a key, which parsing depends on, in a session that ``get_spark``
+    has not made."""
+    name = "spark.sql.variant.allowDuplicateKeys"
+    if spark.conf.get(name, "false") != RECOMMENDED_CONF[name]:
+        spark.conf.set(name, RECOMMENDED_CONF[name])
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Folder shared by all executors for intermediate tables.
 

@@ -81,6 +81,13 @@ def test_null_fields_win_and_a_null_error_is_an_error(spark):
     ]
 
 
+def test_repeated_keys_are_read_in_any_session(spark):
+    other = spark.newSession()
+    other.conf.set("spark.sql.variant.allowDuplicateKeys", "false")
+    (row,) = scored(other, '{"complexity": 1, "complexity": 4}')
+    assert (row.complexity, row._error) == (4.0, None)
+
+
 def test_pending_records(spark):
     todo = records(spark, "done", "failed", "new", "done", "both")
     past = spark.createDataFrame(
