@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from sftpipe.llm.common import filled, id_text
 
-SAMPLE_ROWS, SAMPLE_BYTES = 256, 20_000
+SAMPLE_ROWS, SAMPLE_BYTES, SPARE = 256, 20_000, 4
 MAX_LANGUAGES = 200
 STRETCH = 256
 #: Bytes parsed at once.
@@ -95,13 +95,21 @@ def fit(samples: dict[str, bytes]) -> tuple:
 def learn(df: DataFrame, key: str, text: str, label: str) -> tuple:
     """Fit on the labelled rows of ``df``."""
     labelled = df.filter(df[label].isNotNull() & df[text].isNotNull())
-    if labelled.select(label).distinct().limit(MAX_LANGUAGES + 1).count() > MAX_LANGUAGES:
+    place = F.shiftrightunsigned(F.xxhash64(id_text(key), F.length(text)), 1)
+    narrow = labelled.select(F.col(label).cast("string").alias("label"), F.col(key).alias("key"), place.alias("place"))
+    counts = narrow.groupBy("label").count().limit(MAX_LANGUAGES + 1).collect()
+    if len(counts) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    place = F.xxhash64(id_text(key), F.length(text))
+    # Hashes are even, so those below this bound hold about SPARE times the sample; only they
+    # are ordered.
+    most = (1 << 63) - 1
+    bounds = [(r["label"], min(most, most * SPARE * SAMPLE_ROWS // r["count"])) for r in counts]
+    below = F.broadcast(df.sparkSession.createDataFrame(bounds, "label string, bound bigint"))
     order = Window.partitionBy("label").orderBy("place", "key")
-    # Ids are picked first, so that texts are not sorted; each task sends the first few.
+    # Ids are picked first, so that texts are not sorted.
     picked = (
-        labelled.select(F.col(label).cast("string").alias("label"), F.col(key).alias("key"), place.alias("place"))
+        narrow.join(below, "label")
+        .filter("place <= bound")
         .withColumn("n", F.row_number().over(order))
         .filter(F.col("n") <= SAMPLE_ROWS)
         .select("label", "key", "place")
