@@ -29,7 +29,7 @@ from sftpipe.llm.common import filled, map_texts
 _SHIFT = 0x100
 _TO_PIECE = {byte: byte + _SHIFT for byte in range(256)}
 #: Encodings kept for the next texts: pieces of text, and characters of one.
-CACHE_ROWS, CACHE_CHARS = 300_000, 64
+CACHE_ROWS, CACHE_CHARS = 500_000, 64
 _SPACES = re.compile(r"\s\s")
 _BLANK = re.compile(r"(?<=\S) (?=\S)")
 
