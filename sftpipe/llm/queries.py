@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sftpipe.llm import byte_bpe, chat, exact_names, language, lm_bloom, mixing, quality_eb, secret_cost, simhash_vp, syncmers
+from sftpipe.llm import byte_bpe, chat, exact_names, language, lm_bloom, mixing, quality_eb, secret_cost, simhash_vp, syncmers, token_alignment
 from sftpipe.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,8 @@ QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
+BYTE_TOKENS = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_TOKENS = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def query(function: Query) -> Query:
@@ -108,3 +110,9 @@ SELECT doc_id,
        sha256(coalesce(text, '')) AS text_sha256
 FROM documents
 """
+
+
+@query
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return token_alignment.alignment_counts(documents, "doc_id", "text", BYTE_TOKENS, PIECE_TOKENS)
