@@ -28,9 +28,9 @@ def lower_ascii(text: str | Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
-def id_text(key: str) -> Column:
+def id_text(key: str | Column) -> Column:
     """The id as text, null as empty."""
-    return F.coalesce(F.col(key).cast("string"), F.lit(""))
+    return F.coalesce((F.col(key) if isinstance(key, str) else key).cast("string"), F.lit(""))
 
 
 def count_at_most(bounds: Column, size: int, value: Column) -> Column:

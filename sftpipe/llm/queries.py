@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sftpipe.llm import byte_bpe, chat, exact_names, language, lm_bloom, mixing, quality_eb, secret_cost, simhash_vp, syncmers, token_alignment
+from sftpipe.llm import (
+    byte_bpe,
+    chat,
+    compression_bands,
+    exact_names,
+    language,
+    lm_bloom,
+    mixing,
+    quality_eb,
+    secret_cost,
+    simhash_vp,
+    syncmers,
+    token_alignment,
+    word_runs,
+)
 from sftpipe.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -116,3 +130,24 @@ FROM documents
 def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return token_alignment.alignment_counts(documents, "doc_id", "text", BYTE_TOKENS, PIECE_TOKENS)
+
+
+@query
+def op12_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = word_runs.with_periodic_tails(table(spark, sf_dir, "documents"), "doc_id", "text")
+    best = word_runs.most_repeated(F.col("runs"))
+    found = word_runs.find_runs(texts, "doc_id", "text").withColumn("best", best)
+    line = lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *[F.col(f"best.{name}").alias(name) for name in ("start", "length", "period")],
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compression_bands.quality_rules(table(spark, sf_dir, "documents"), "doc_id", "text")
