@@ -19,6 +19,7 @@ import hashlib
 import re
 import struct
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,8 +29,9 @@ from sftpipe.llm.common import filled, map_texts
 #: A byte's character in the pieces: no white space, no control character.
 _SHIFT = 0x100
 _TO_PIECE = {byte: byte + _SHIFT for byte in range(256)}
-#: Encodings kept for the next texts: pieces of text, and characters of one.
-CACHE_ROWS, CACHE_CHARS = 500_000, 64
+#: Bytes of the encodings that a task keeps for its next texts, what an entry takes besides its
+#: characters, and characters of a piece that is kept.
+CACHE_BYTES, ENTRY_BYTES, CACHE_CHARS = 32 << 20, 200, 64
 _SPACES = re.compile(r"\s\s")
 _BLANK = re.compile(r"(?<=\S) (?=\S)")
 
@@ -106,6 +108,10 @@ class Codec:
         pieces = [self.model.id_to_piece(i) for i in range(self.model.vocab_size() - 1)]
         self.bytes_of = {str(i): bytes(ord(c) - _SHIFT for c in p) for i, p in enumerate(pieces)}
         self.known: dict[str, str] = {}
+        self.known_bytes = 0
+
+    def forget(self) -> None:
+        self.known, self.known_bytes = {}, 0
 
     def _encoded(self, pieces: list[str]) -> list[str]:
         """Ids of each piece, joined by blanks; its pre-tokens are encoded one by one."""
@@ -126,17 +132,19 @@ class Codec:
             rest.pop()
             rest[-1:] = [rest[-1] + " "] if rest else []
             first = first if rest else first + " "
-        known = self.known
-        if fresh := set(rest).difference(known):
-            if len(known) + len(fresh) > CACHE_ROWS:
-                known.clear()
-                fresh = set(rest)
-            fresh = list(fresh)
-            found = dict(zip(fresh, self._encoded([" " + p for p in fresh])))
-            known.update((p, i) for p, i in found.items() if len(p) <= CACHE_CHARS)
-            if max(map(len, fresh)) > CACHE_CHARS:
-                known = known | found
-        return " ".join([self._encoded([first])[0], *map(known.__getitem__, rest)])
+        known, long = self.known, {}
+        if fresh := list(set(rest).difference(known)):
+            for piece, ids in zip(fresh, self._encoded([" " + p for p in fresh])):
+                if len(piece) > CACHE_CHARS:
+                    long[piece] = ids
+                else:
+                    known[piece] = ids
+                    self.known_bytes += ENTRY_BYTES + len(piece) + len(ids)
+        ids_of = known.__getitem__ if not long else lambda p: long[p] if p in long else known[p]
+        ids = " ".join([self._encoded([first])[0], *map(ids_of, rest)])
+        if self.known_bytes > CACHE_BYTES:
+            self.forget()
+        return ids
 
     def decode_joined(self, ids: str) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids.split()))
@@ -148,11 +156,21 @@ class Codec:
         return self.decode_joined(" ".join(map(str, ids)))
 
 
-@lru_cache(maxsize=2)
-def _codec(model: bytes, pattern: str) -> Codec:
+@lru_cache(maxsize=1)
+def _loaded(model: bytes, pattern: str) -> Codec:
     return Codec(model, pattern)
 
 
+@contextmanager
+def _codec(model: bytes, pattern: str) -> Iterator[Codec]:
+    """The worker's codec; what a task has it keep goes when the task ends."""
+    codec = _loaded(model, pattern)
+    try:
+        yield codec
+    finally:
+        codec.forget()
+
+
 def _shared_model(spark: SparkSession, vocabulary: str):
     """The model for the workers, read once by the driver; bounded by the vocabulary."""
     return spark.sparkContext.broadcast(sentencepiece_model(read_ranks(vocabulary)))
@@ -163,9 +181,9 @@ def encode(df: DataFrame, key: str, text: str, vocabulary: str, pattern: str) ->
     model = _shared_model(df.sparkSession, vocabulary)
 
     def rows(batches: Iterator[dict]) -> Iterator[list[tuple]]:
-        codec = _codec(model.value, pattern)
-        for batch in batches:
-            yield [(k, codec.encode(t)) for k, t in zip(batch["key"], batch["text"])]
+        with _codec(model.value, pattern) as codec:
+            for batch in batches:
+                yield [(k, codec.encode(t)) for k, t in zip(batch["key"], batch["text"])]
 
     kind = df.schema[key].dataType.simpleString()
     read = df.select(df[key].alias("key"), filled(df[text]).alias("text"))
@@ -177,9 +195,9 @@ def decode(df: DataFrame, key: str, ids: str, vocabulary: str, pattern: str) ->
     model = _shared_model(df.sparkSession, vocabulary)
 
     def rows(batches: Iterator[dict]) -> Iterator[list[tuple]]:
-        codec = _codec(model.value, pattern)
-        for batch in batches:
-            yield [(k, codec.decode(i or [])) for k, i in zip(batch["key"], batch["ids"])]
+        with _codec(model.value, pattern) as codec:
+            for batch in batches:
+                yield [(k, codec.decode(i or [])) for k, i in zip(batch["key"], batch["ids"])]
 
     kind = df.schema[key].dataType.simpleString()
     read = df.select(df[key].alias("key"), df[ids].alias("ids"))
@@ -200,9 +218,9 @@ def round_trip_digests(
         return n_tokens, digest, hashlib.sha256(decoded).hexdigest()
 
     def rows(batches: Iterator[dict]) -> Iterator[list[tuple]]:
-        codec = _codec(model.value, pattern)
-        for batch in batches:
-            yield [(k, *digests(codec, t)) for k, t in zip(batch["key"], batch["text"])]
+        with _codec(model.value, pattern) as codec:
+            for batch in batches:
+                yield [(k, *digests(codec, t)) for k, t in zip(batch["key"], batch["text"])]
 
     kind = df.schema[key].dataType.simpleString()
     read = df.select(df[key].alias("key"), filled(df[text]).alias("text"))

@@ -43,9 +43,22 @@ def test_white_space_and_marks_at_random(codec, reference):
 
 
 def test_known_pieces_do_not_change_results(codec, reference, monkeypatch):
-    monkeypatch.setattr(byte_bpe, "CACHE_ROWS", 3)
-    for text in ("a b c d e f a b", "x" * 500 + " y " + "x" * 500, "a b", " lead", "trail ", " ", "a  b"):
-        assert codec.encode(text) == reference.encode_ordinary(text)
+    for most in (1, 1000, byte_bpe.CACHE_BYTES):
+        monkeypatch.setattr(byte_bpe, "CACHE_BYTES", most)
+        for text in ("a b c d e f a b", "x" * 500 + " y " + "x" * 500, "a b", " lead", "trail ", " ", "a  b"):
+            assert codec.encode(text) == reference.encode_ordinary(text)
+            assert codec.known_bytes <= most and not any(len(p) > byte_bpe.CACHE_CHARS for p in codec.known)
+    assert codec.known
+    codec.forget()
+    assert not codec.known and not codec.known_bytes
+
+
+def test_a_task_leaves_nothing_behind(ranks):
+    model = byte_bpe.sentencepiece_model(ranks)
+    with byte_bpe._codec(model, PATTERN) as codec:
+        codec.encode("one two three")
+        assert codec.known
+    assert not codec.known
 
 
 def test_odd_rows(spark, odd_docs, odd_rows, reference):

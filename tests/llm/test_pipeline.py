@@ -8,8 +8,9 @@ import pytest
 
 import __spark_entry__ as contract
 import corpus_pipeline
-from sftpipe.llm import exact_names, quality_eb, queries, simhash_vp
+from sftpipe.llm import exact_names, quality_eb, queries
 from sftpipe.session import write_stage
+from test_near_jaccard import classes
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="benchmark tables not present")
@@ -51,10 +52,11 @@ def test_stages(spark):
         last[r.text] = max(r.doc_id, last.get(r.text, -1))
     assert ids["exact_dedup"] == Counter(last.values())
 
-    groups = simhash_vp.near_groups(at["exact_dedup"], "doc_id", "text").collect()
-    assert ids["simhash_near_dedup"] == Counter({g.component_id for g in groups})
+    rows = sorted((r.doc_id, r.text) for r in at["exact_dedup"].collect())
+    assert ids["near_dedup"] == Counter({rows[first][0] for first in classes([text for _, text in rows])})
+    assert len(ids["near_dedup"]) < len(rows)
 
-    before = {r.doc_id: len(r.text.split()) for r in at["simhash_near_dedup"].collect()}
+    before = {r.doc_id: len(r.text.split()) for r in at["near_dedup"].collect()}
     taken = Counter()
     for r in at["source_mixing"].collect():
         taken[r.doc_id] += len(r.text.split())
