@@ -227,3 +227,31 @@ def fetch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(
         F.col("event_type").alias("url"), status.alias("status"), F.col("value").alias("elapsed_s")
     )
+
+
+def personal_text() -> Column:
+    """Document texts after true and false identifiers: numbers with every check character, of
+    which one is right, dates that do not exist, numbers of other lengths and plans, and
+    several spellings of one identifier."""
+    number = F.col("doc_id")
+    padded = lambda value, size: F.lpad(value.cast("string"), size, "0")
+    born = F.concat(
+        F.lit("110105"), (number % 50 + 1950).cast("string"), padded(number % 12 + 1, 2), padded(number % 28 + 1, 2),
+        padded(number % 1000, 3),
+    )
+    never = F.concat(F.substring(born, 1, 10), F.lit("0230123"))
+    card = F.concat(F.lit("4"), padded(number % 10**14, 14))
+    four = padded(number % 10000, 4)
+    ends = F.split(F.lit("0123456789X"), "")
+    all_ends = lambda start: F.array_join(F.transform(ends, lambda e: F.concat(start, e)), " ")
+    spaced = F.concat_ws(" ", *[F.substring(card, at, 4) for at in (1, 5, 9, 13)])
+    digits = F.slice(ends, 1, 10)
+    cards = F.transform(digits, lambda e: F.concat(F.when(number % 2 == 0, card).otherwise(spaced), e))
+    person = (number % 100).cast("string")
+    return F.concat(
+        F.lit("id "), all_ends(born), F.lit(" "), all_ends(never), F.lit(" card "), F.array_join(cards, "; "),
+        F.lit(" call +86 139 "), four, F.lit(" 5678, 139"), four, F.lit("5678, 0086-139"), four, F.lit("5678 or 1"), four,
+        F.lit("5678 +1 (743) 555-"), four, F.lit(", 1-743-555-"), four, F.lit(", 911-555-"), four, F.lit(", 010-6"), four,
+        F.lit("678 mail User."), person, F.lit("@Mail.Example.COM, user."), person,
+        F.lit("@mail.example.com, user@host from 10."), (number % 300).cast("string"), F.lit(".1.2 \x01\x02 "), F.col("text"),
+    )
