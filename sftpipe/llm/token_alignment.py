@@ -10,8 +10,10 @@ are finished. A link is a pair of token occurrences whose byte ranges overlap; t
 divide both sequences into groups.
 
 No token of A or B crosses a blank between two characters that are no white space, unless it
-begins there. Long texts are cut into parts at such blanks; the parts step side by side as
-documents do, so a batch takes as many steps as its longest part has links.
+begins there. So a text is split at these blanks, the ids of a piece serve for all its
+occurrences, and a task encodes a piece it remembers only once. For the merge, long documents
+are cut into parts of whole pieces; the parts step side by side as documents do, so a batch
+takes as many steps as its longest part has links.
 
 How often an id pair is linked is counted over all documents: documents keep their distinct
 pairs with counts, which Spark sums up. The most frequent ``PAIRS`` pairs are broadcast, a
@@ -30,9 +32,11 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-from collections.abc import Callable, Iterator
+from array import array
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -44,13 +48,15 @@ from sftpipe.llm.common import filled
 from sftpipe.operators.joins import join_hot
 from sftpipe.session import write_counted, write_stage
 
-#: Characters of a part, after which the next fit blank cuts, and of the texts of one merge.
-PART_CHARS, BATCH_CHARS = 4096, 2 << 20
+#: Tokens of A in a part, which ends with a piece, and characters of the texts of one merge.
+PART_TOKENS, BATCH_CHARS = 1024, 1 << 20
+#: Characters of the pieces that a task remembers, and how many are encoded as one text.
+KNOWN_CHARS, JOINED = 3 << 20, 64
 #: Id pairs that are broadcast: 32 MB in a worker.
 PAIRS = 2 << 20
 #: Ids have at most 20 bits.
 ID = (1 << 20) - 1
-_BLANK = re.compile(r"(?<=\S) (?=\S)")
+_BLANK, _SPACES = re.compile(r"(?<=\S) (?=\S)"), re.compile(r"\s\s")
 _SPACE = "▁"
 
 
@@ -90,21 +96,110 @@ class Tokenizers:
         #: Whether a blank after another character always begins a token of B.
         self.cuts = not any(_SPACE in p.lstrip(_SPACE) for p in pieces)
 
-    def parts(self, text: str) -> list[str]:
-        """The text without the blanks at which it is cut."""
-        if len(text) <= PART_CHARS or not self.cuts:
+    def pieces(self, text: str) -> list[str]:
+        """The text without the blanks at which it is split."""
+        if not self.cuts:
             return [text]
-        found, at = [], 0
-        while (blank := _BLANK.search(text, at + PART_CHARS)) is not None:
-            found.append(text[at : blank.start()])
-            at = blank.end()
-        return [*found, text[at:]]
+        if not _SPACES.search(text):
+            found = text.split(" ")
+            if found[0] and found[-1]:
+                return found
+        return _BLANK.split(text)
 
-    def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+    def _encoded(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         """Ids of each text, a blank before it, by A and by B."""
         a = self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
         return [e.ids for e in a], self.b.encode(texts, num_threads=1)
 
+    def _spells(self, a: Sequence[int], b: Sequence[int], wanted: bytes) -> bool:
+        return b"".join([self.bytes_a[i] for i in a]) == wanted == b"".join([self.bytes_b[i] for i in b])
+
+    def encode(self, pieces: list[str]) -> Pieces:
+        """Ids of each piece, a blank before it; none if they do not give back its bytes.
+
+        Pieces between which a text may be split are encoded as one text.
+        """
+        apart = [not self.cuts or not p or p[0].isspace() or p[-1].isspace() or _SPACE in p for p in pieces]
+        joined = [p for p, own in zip(pieces, apart) if not own]
+        a, b = array("q"), array("q")
+        for at in range(0, len(joined), JOINED * JOINED):
+            some = joined[at : at + JOINED * JOINED]
+            lines = [" ".join(some[i : i + JOINED]) for i in range(0, len(some), JOINED)]
+            for ids, found in zip((a, b), self._encoded(lines)):
+                for row in found:
+                    ids.extend(row)
+        if not self._spells(a, b, " ".join(["", *joined]).encode()):
+            apart, joined, a, b = [True] * len(pieces), [], [], []
+        own = [p for p, alone in zip(pieces, apart) if alone]
+        own_a, own_b = self._encoded(own) if own else ([], [])
+        for i, p in enumerate(own):
+            if not p or not self._spells(own_a[i], own_b[i], b" " + p.encode()):
+                own_a[i] = own_b[i] = []
+        alone, ends = np.array(apart, bool), np.cumsum([len(p.encode()) + 1 for p in joined])
+        return Pieces(
+            *_merged(alone, own_a, *_cut(a, self.sizes_a, ends)),
+            *_merged(alone, own_b, *_cut(b, self.sizes_b, ends)),
+        )
+
+
+@dataclass
+class Pieces:
+    """Ids by A and B of some pieces, one after another, and how many each has."""
+
+    a: np.ndarray
+    sizes_a: np.ndarray
+    b: np.ndarray
+    sizes_b: np.ndarray
+
+    def __add__(self, other: Pieces) -> Pieces:
+        return Pieces(*(np.concatenate([getattr(x, f) for x in (self, other)]) for f in ("a", "sizes_a", "b", "sizes_b")))
+
+
+def _gathered(ids: np.ndarray, sizes: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """Ids of the pieces in ``order``."""
+    taken = sizes[order]
+    shift = (np.cumsum(sizes) - sizes)[order] - (np.cumsum(taken) - taken)
+    return ids[np.arange(taken.sum()) + np.repeat(shift, taken)]
+
+
+def _cut(ids: Sequence[int], sizes: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the pieces that end at the bytes ``ends`` of a text, and how many each has."""
+    ids = np.array(ids, np.int64)
+    return ids, np.diff(np.searchsorted(np.cumsum(sizes[ids]), ends, side="right"), prepend=0)
+
+
+def _merged(alone: np.ndarray, own: list[list[int]], ids: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and sizes of all pieces, those encoded alone in their places."""
+    all_ids = np.concatenate([ids, np.array([i for row in own for i in row], np.int64)])
+    all_sizes = np.concatenate([sizes, np.array([len(row) for row in own], np.int64)])
+    order = np.argsort(np.argsort(alone, kind="stable"), kind="stable")
+    return _gathered(all_ids, all_sizes, order), all_sizes[order]
+
+
+class Encoder:
+    """Encodes the texts of a task and remembers their pieces."""
+
+    def __init__(self, tokenizers: Tokenizers):
+        self.tokenizers = tokenizers
+        self._forget()
+
+    def _forget(self) -> None:
+        self.places: dict[str, int] = {}
+        none = np.zeros(0, np.int64)
+        self.known = Pieces(none, none, none, none)
+        self.chars = 0
+
+    def encode(self, texts: list[list[str]]) -> tuple[Pieces, np.ndarray]:
+        """The ids of the known pieces, and the places of the pieces of all texts among them."""
+        if self.chars > KNOWN_CHARS:
+            self._forget()
+        if fresh := list(set().union(*texts).difference(self.places)):
+            self.places.update(zip(fresh, range(len(self.places), len(self.places) + len(fresh))))
+            self.known += self.tokenizers.encode(fresh)
+            self.chars += sum(map(len, fresh))
+        order = np.fromiter(map(self.places.__getitem__, chain.from_iterable(texts)), np.int64)
+        return self.known, order
+
 
 @lru_cache(maxsize=1)
 def tokenizers(a: str, b: str) -> Tokenizers:
@@ -119,7 +214,7 @@ def lockstep(
     ``ends`` are the byte ends of all tokens, ``stops`` the places after the last token of each
     part; the parts lie one after another, with the same bytes in A and in B.
     """
-    at_a, at_b = np.r_[0, stops_a[:-1]], np.r_[0, stops_b[:-1]]
+    at_a, at_b = (np.r_[0, stops][: len(stops)] for stops in (stops_a, stops_b))
     # A part has fewer links than tokens in A and B.
     slot, stop = at_a + at_b, stops_a
     links_a = np.full(len(ends_a) + len(ends_b), -1)
@@ -152,30 +247,27 @@ class Aligned:
     of_cuts: np.ndarray
 
 
-def align_texts(codec: Tokenizers, texts: list[str]) -> Aligned:
-    parts = [codec.parts(t) if t else [] for t in texts]
-    a, b = codec.encode([p for found in parts for p in found])
-    at, whole = 0, []
-    for text, found in zip(texts, parts):
-        rows, at = slice(at, at + len(found)), at + len(found)
-        wanted = b" " + text.encode()
-        for ids, spelled in ((a, codec.bytes_a), (b, codec.bytes_b)):
-            if b"".join([spelled[i] for row in ids[rows] for i in row]) != wanted:
-                a[rows] = b[rows] = [[] for _ in found]
-                break
-        whole.append(at)
-    flat = lambda ids: np.fromiter((i for row in ids for i in row), np.int64)
-    stops = lambda ids: np.cumsum([0, *map(len, ids)])
-    ids_a, ids_b, stops_a, stops_b = flat(a), flat(b), stops(a), stops(b)
-    filled_parts = np.flatnonzero(np.diff(stops_a)) + 1
+def align_texts(encoder: Encoder, texts: list[str]) -> Aligned:
+    found = [encoder.tokenizers.pieces(t) if t else [] for t in texts]
+    known, order = encoder.encode(found)
+    of_text = np.repeat(np.arange(len(texts)), [*map(len, found)])
+    spelled = known.sizes_a > 0
+    whole = np.bincount(of_text, ~spelled[order], len(texts)) == 0
+    order, of_text = order[whole[of_text]], of_text[whole[of_text]]
+    ids_a, ids_b = _gathered(known.a, known.sizes_a, order), _gathered(known.b, known.sizes_b, order)
+    ends_a, ends_b = np.cumsum(known.sizes_a[order]), np.cumsum(known.sizes_b[order])
+    at = np.searchsorted(of_text, np.arange(len(texts) + 1))
+    of_a, of_b = (np.r_[0, ends][at] for ends in (ends_a, ends_b))
+    # A part ends with the last piece of a text, or that begins within its tokens.
+    part = (ends_a - known.sizes_a[order] - of_a[of_text]) // PART_TOKENS
+    last = np.flatnonzero(np.diff(of_text, append=-1) | np.diff(part, append=-1))
+    codec = encoder.tokenizers
     links_a, links_b, cut = lockstep(
-        np.cumsum(codec.sizes_a[ids_a]), np.cumsum(codec.sizes_b[ids_b]), stops_a[filled_parts], stops_b[filled_parts]
+        np.cumsum(codec.sizes_a[ids_a]), np.cumsum(codec.sizes_b[ids_b]), ends_a[last], ends_b[last]
     )
     cuts = np.flatnonzero(cut)
-    whole = np.array([0, *whole])
-    of_a = stops_a[whole]
     of_links = np.searchsorted(links_a, of_a)
-    return Aligned(ids_a, ids_b, links_a, links_b, cuts, of_a, stops_b[whole], of_links, np.searchsorted(cuts, of_links))
+    return Aligned(ids_a, ids_b, links_a, links_b, cuts, of_a, of_b, of_links, np.searchsorted(cuts, of_links))
 
 
 def group_texts(found: Aligned) -> list[str]:
@@ -186,24 +278,20 @@ def group_texts(found: Aligned) -> list[str]:
     # All of a group's ids of B follow its last id of A.
     place_a = np.arange(len(found.a)) + np.r_[0, ends_b + 1][group_a]
     place_b = np.arange(len(found.b)) + ends_a[group_b] + 1
-    ids = np.zeros(len(found.a) + len(found.b), np.int64)
-    marks = np.zeros(len(ids), np.int64)
-    ids[place_a], ids[place_b] = found.a, found.b
-    marks[place_a[ends_a]], marks[place_b[ends_b]] = 1, 2
-    written = _written(int(ids.max(initial=0)) + 1)
+    size = -(-(int(max(found.a.max(initial=0), found.b.max(initial=0))) + 1) // 65536) * 65536
+    codes = np.zeros(len(found.a) + len(found.b), np.int64)
+    codes[place_a], codes[place_b] = found.a, found.b
+    codes[place_a[ends_a]] += size
+    codes[place_b[ends_b]] += 2 * size
+    spelled = _written(size)[codes]
     bounds = (found.of_a + found.of_b).tolist()
-    spelled = [written[m][i] for m, i in zip(marks.tolist(), ids.tolist())]
-    return ["".join(spelled[x:y])[:-1] for x, y in zip(bounds, bounds[1:])]
+    return ["".join(spelled[x:y].tolist())[:-1] for x, y in zip(bounds, bounds[1:])]
 
 
 @lru_cache(maxsize=1)
-def _written_to(size: int) -> tuple[list[str], ...]:
-    return tuple([f"{i}{mark}" for i in range(size)] for mark in ",|;")
-
-
-def _written(size: int) -> tuple[list[str], ...]:
-    """Ids as text before each of the three marks; of a few sizes, so that it is kept."""
-    return _written_to(-(-size // 65536) * 65536)
+def _written(size: int) -> np.ndarray:
+    """Ids below ``size`` as text before each of the three marks; of few sizes, so it is kept."""
+    return np.array([f"{i}{mark}" for mark in ",|;" for i in range(size)], object)
 
 
 def id_pairs(found: Aligned) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -228,13 +316,13 @@ def _mapped(df: DataFrame, key: str, text: str, a: str, b: str, schema: str, col
     fields = to_arrow_schema(df.sparkSession.createDataFrame([], schema).schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = tokenizers(a, b)
+        encoder = Encoder(tokenizers(a, b))
         for batch in batches:
             start, chars, texts = 0, 0, batch.column(1).to_pylist()
             for at, value in enumerate(texts, 1):
                 chars += len(value)
                 if chars >= BATCH_CHARS or at == len(texts):
-                    found = columns(align_texts(codec, texts[start:at]))
+                    found = columns(align_texts(encoder, texts[start:at]))
                     arrays = [batch.column(0).slice(start, at - start), *found]
                     yield pa.RecordBatch.from_arrays([_cast(x, f.type) for x, f in zip(arrays, fields)], schema=fields)
                     start, chars = at, 0

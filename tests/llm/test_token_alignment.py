@@ -105,11 +105,17 @@ def test_counts_are_those_of_all_pairs(spark, rows, most):
     assert Counter(map(tuple, found.collect())) == wanted_rows(rows)
 
 
-@pytest.mark.parametrize("part", [token_alignment.PART_CHARS, 1, 20])
-def test_parts_change_nothing(rows, part, monkeypatch):
-    monkeypatch.setattr(token_alignment, "PART_CHARS", part)
-    codec = token_alignment.tokenizers(BYTE_TOKENS, PIECE_TOKENS)
-    found = token_alignment.align_texts(codec, [t or "" for _, t in rows])
+@pytest.mark.parametrize("part", [token_alignment.PART_TOKENS, 1, 20])
+@pytest.mark.parametrize("cuts", [True, False])
+def test_parts_and_pieces_change_nothing(rows, part, cuts, monkeypatch):
+    monkeypatch.setattr(token_alignment, "PART_TOKENS", part)
+    monkeypatch.setattr(token_alignment, "KNOWN_CHARS", 100)
+    codec = token_alignment.Tokenizers(BYTE_TOKENS, PIECE_TOKENS)
+    codec.cuts = codec.cuts and cuts
+    encoder = token_alignment.Encoder(codec)
+    texts = [t or "" for _, t in rows]
+    for some in ([], texts[:3], texts[20:30], texts):
+        found = token_alignment.align_texts(encoder, some)
     texts = token_alignment.group_texts(found)
     for at, (_, text) in enumerate(rows):
         ids_a, ids_b, links, groups = aligned(text)
