@@ -255,3 +255,64 @@ def personal_text() -> Column:
         F.lit("678 mail User."), person, F.lit("@Mail.Example.COM, user."), person,
         F.lit("@mail.example.com, user@host from 10."), (number % 300).cast("string"), F.lit(".1.2 \x01\x02 "), F.col("text"),
     )
+
+
+def site_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(page_key, site, text): the lines of web pages, with lines that pages of a site share in
+    several spellings, and lines of one page alone."""
+    pages = table(spark, sf_dir, "pages")
+    site = F.regexp_extract("url", "//([^/]+)", 1)
+    scripts = F.regexp_replace("html", "(?s)<(?:script|style)[^>]*>.*?</(?:script|style)>", "")
+    number = F.col("page_id").cast("string")
+    title = F.regexp_extract("html", "(?s)<h1>(.*?)</h1>", 1)
+    lines = F.concat_ws(
+        "\n",
+        F.when(F.col("page_id") % 3 != 0, F.concat(F.lit("Call "), site, F.lit(" now: 400-"), number, F.lit("!"))),
+        F.regexp_replace(scripts, "<[^>]*>", "\n"),
+        F.when(F.col("page_id") % 2 == 0, F.concat(F.lit("Only here: "), title)),
+        F.when(F.col("page_id") % 5 == 0, "  SUBSCRIBE to \t our newsletter").otherwise("Subscribe to our newsletter "),
+        F.concat(F.lit("subscribe to our newsletter or to "), title),
+    )
+    return pages.select(F.col("page_id").alias("page_key"), site.alias("site"), lines.alias("text"))
+
+
+def residue_text() -> Column:
+    """Document texts with tags, comments and references, escaped up to three times, and with
+    comparisons that only look like tags."""
+    number = F.col("doc_id")
+    text = F.replace("text", F.lit(". "), F.lit(".<br/>"))
+    for plain, marked in (
+        (", ", ",&nbsp;"),
+        (" the ", " <b class='x'>the</b> "),
+        (" de ", " &lt;i&gt;de&lt;/i&gt; "),
+        (" of ", " a < b of c > d "),
+        (" in ", " x<y>z in "),
+    ):
+        text = F.replace(text, F.lit(plain), F.lit(marked))
+    opened = (
+        F.when(number % 4 == 0, '<div id="a>b">')
+        .when(number % 4 == 1, "&lt;p align=&quot;left&quot;&gt;")
+        .when(number % 4 == 2, "&amp;lt;!-- &amp;amp; --&amp;gt;&amp;#60;hr&#38;#62;")
+        .otherwise("<SCRIPT type='t'>if (a < b) {}</script >&amp;amp;amp;copy; &unknown; AT&T ")
+    )
+    return F.concat(opened, text, F.lit("<!-- end --></div><font color=red size=2 noshade>"))
+
+
+def relevance_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, lang, question, answer, swapped): a question has words of its own text and of
+    another; every fifth answer is that of a third document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    words = F.filter(F.split("text", r"[ \n\r\t]+"), lambda w: F.length(w) > 0)
+    own = docs.select("doc_id", "lang", "text", words.alias("words"))
+    every = lambda step, first: F.filter("words", lambda w, i: i % step == first)
+    size = F.greatest(F.lit(1), F.floor(F.size("words") / 8)).cast("int")
+    asked = own.select("doc_id", "lang", "text", F.slice(every(size, 0), 1, 8).alias("picked"))
+    other = docs.select((F.col("doc_id") - 5).alias("doc_id"), F.col("text").alias("next_text"))
+    mixed = asked.select((F.col("doc_id") - 7).alias("doc_id"), F.slice("picked", 1, 3).alias("noise"))
+    joined = asked.join(other, "doc_id", "left").join(mixed, "doc_id", "left")
+    swapped = (F.col("doc_id") % 5 == 0) & F.col("next_text").isNotNull()
+    question = F.array_join(F.concat("picked", F.coalesce("noise", F.array().cast("array<string>"))), " ")
+    return joined.select(
+        "doc_id", "lang", question.alias("question"),
+        F.when(swapped, F.col("next_text")).otherwise(F.col("text")).alias("answer"), swapped.alias("swapped"),
+    )
