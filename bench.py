@@ -9,7 +9,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from sftpipe.plans import cleaning_checks  # noqa: E402, F401
+from sftpipe.plans import cleaning_checks, store_checks  # noqa: E402, F401
 from sftpipe.plans.checks import QUERIES  # noqa: E402
 from sftpipe.session import get_spark, release_stages  # noqa: E402
 

@@ -362,6 +362,11 @@ def ingest_twice(spark, sf_dir):
     root = scratch_path(spark, "store")
     for n, batch in enumerate((early, early, all_pages)):
         ingest_pages(batch, root, "quotes", now=datetime(2024, 1, 1 + n), run=f"run {n}")
+    return store_contents(spark, root)
+
+
+def store_contents(spark: SparkSession, root: str) -> DataFrame:
+    """(kind, key, value) of all rows of an ingest store."""
     kept = tables.records(spark, root).select(
         F.lit("record").alias("kind"), F.col("content_hash").alias("key"), F.col("url").alias("value")
     )

@@ -24,6 +24,7 @@ from sftpipe.operators.stats import (
     scored_ok,
 )
 from sftpipe.session import write_stage
+from sftpipe.sources.rounds import append_round
 from sftpipe.sources.writers import append_scored, write_splits
 
 
@@ -37,20 +38,36 @@ def score_requests(
     return judge_requests(todo, key)
 
 
+def scored_round(records: DataFrame, responses: DataFrame, key: str) -> DataFrame:
+    """The scored rows of one round of responses, written to scratch."""
+    return write_stage(
+        attach_scores(records, pick_responses(responses, key), key).drop(key), "scored-round"
+    )
+
+
 def apply_responses(
     records: DataFrame, responses: DataFrame, key: str, out: str, overwrite: bool = False
 ) -> DataFrame:
     """Parse the responses of one round and append the scored rows to ``out``.
 
-    The round is written to scratch first, so ``records`` may read ``out`` itself.
+    The round is written to scratch first, so ``records`` may read ``out`` itself. A round
+    applied again is appended again; ``apply_round`` applies it once.
     """
-    scored = write_stage(
-        attach_scores(records, pick_responses(responses, key), key).drop(key), "scored-round"
-    )
+    scored = scored_round(records, responses, key)
     append_scored(scored, out, overwrite)
     return scored
 
 
+def apply_round(
+    records: DataFrame, responses: DataFrame, key: str, out: str, name: str | None = None
+) -> bool:
+    """``apply_responses`` exactly once: False, and nothing changed, if the round is in ``out``.
+
+    ``name`` names the round, else the scored rows do. ``out`` is read by ``read_rounds``.
+    """
+    return append_round(scored_round(records, responses, key), out, name)
+
+
 @dataclass(frozen=True)
 class Distributions:
     scores: DataFrame
