@@ -1,4 +1,4 @@
-"""Queries of the stores: streaming ingest, rounds applied once."""
+"""Queries of the stores: streaming ingest, rounds applied once, files read in blocks."""
 
 from __future__ import annotations
 
@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from sftpipe.plans import views
 from sftpipe.plans.checks import query, store_contents
 from sftpipe.session import append_stage, scratch_path, write_stage
+from sftpipe.sources.large_csv import read_large_csv
 from sftpipe.sources.readers import SCORED_SCHEMA
 from sftpipe.sources.rounds import append_round, read_rounds
+from sftpipe.sources.writers import write_csv
 from sftpipe.streaming.ingest import batch_ingest, stream_pages
 
 
@@ -42,3 +44,23 @@ def scored_rounds(spark, sf_dir):
         "doc_id", "instruction", "complexity", "clarity", "informativeness", "_error",
         F.lit(sum(applied)).cast("bigint").alias("rounds"),
     )
+
+
+SPLIT = "spark.sql.files.maxPartitionBytes"
+
+
+@query
+def large_csv_round_trip(spark, sf_dir):
+    """Documents as two CSV files, with quotes and line breaks in cells, read in small blocks."""
+    docs = views.table(spark, sf_dir, "documents").select("doc_id", views.csv_text().alias("text"), "lang")
+    root = scratch_path(spark, "large-csv")
+    even = F.col("doc_id") % 2 == 0
+    for name, part in (("a", docs.filter(even)), ("b", docs.filter(~even))):
+        write_csv(part.repartition(1).sortWithinPartitions("doc_id"), f"{root}/{name}")
+    before = spark.conf.get(SPLIT)
+    spark.conf.set(SPLIT, str(256 << 10))
+    try:
+        found = read_large_csv(spark, f"{root}/*", "position")
+    finally:
+        spark.conf.set(SPLIT, before)
+    return found

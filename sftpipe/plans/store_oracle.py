@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sftpipe.plans.oracle import _MISSING, QUOTES, _scored
+from sftpipe.plans.oracle import _CSV_TEXT, _MISSING, QUOTES, _scored
 
 
 def stores() -> dict[str, str]:
@@ -23,4 +23,7 @@ union all select 'run', 'stream-' || b, (select count(*) from done where ok and
 from (select unnest([0, 1, 2]) as b)""",
         "scored_rounds": _scored("""
 select doc_id, instruction, complexity, clarity, informativeness, _error, 2 as rounds from scored"""),
+        "large_csv_round_trip": f"""
+select doc_id::varchar as doc_id, {_CSV_TEXT} as text, lang,
+  row_number() over (order by doc_id % 2, doc_id) - 1 as position from documents""",
     }
