@@ -39,6 +39,33 @@ def test_near_dup_equals_sequential_scan(spark, seed, hot):
     assert set(got) == scan(entries)
 
 
+@pytest.mark.parametrize("scan_entries", [0, 12, 10**6])
+def test_the_rest_is_scanned_by_component(spark, monkeypatch, scan_entries):
+    monkeypatch.setattr(dedup, "ROUNDS", 1)
+    monkeypatch.setattr(dedup, "SCAN_ENTRIES", scan_entries)
+    rng = random.Random(7)
+    entries = {(k, f"{band}-{rng.randrange(200)}") for k in range(150) for band in range(2)}
+    entries |= {(1000 + k + d, f"chain {n}-{k}") for n, size in enumerate((3, 6, 30)) for k in range(100 * n, 100 * n + size) for d in (0, 1)}
+    assert set(near(spark, sorted(entries))) == scan(entries)
+
+
+def test_component_labels(spark):
+    entries = [(k, f"{k // 50}-{j}") for k in range(200) for j in (k % 50, k % 50 + 1)] + [(500, "alone"), (501, "0-3")]
+    live = spark.createDataFrame(entries, "k long, bucket string").groupBy("k").agg(F.collect_list("bucket").alias("buckets"))
+    found = dict(dedup.component_labels(live, "k").collect())
+    for first in (0, 50, 100, 150):
+        assert {found.get(k, k) for k in range(first, first + 50)} == {first}
+    assert found[501] == 0 and found.get(500, 500) == 500
+
+
+def test_a_long_chain_takes_few_jobs(spark, monkeypatch):
+    jobs, write = [], dedup.write_counted
+    monkeypatch.setattr(dedup, "write_counted", lambda *a: jobs.append(a[1]) or write(*a))
+    entries = [e for k in range(10_000) for e in ((k, f"{k:05}"), (k, f"{k + 1:05}"))]
+    assert sorted(near(spark, entries)) == list(range(1, 10_000, 2))
+    assert len(jobs) == dedup.ROUNDS + 2
+
+
 def test_near_dup_chain_keeps_every_other_row(spark):
     entries = [e for k in range(9) for e in ((k, str(k)), (k, str(k + 1)))]
     assert sorted(near(spark, entries)) == [1, 3, 5, 7]
