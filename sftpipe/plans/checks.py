@@ -393,16 +393,14 @@ def csv_round_trip(spark, sf_dir):
 
 @query
 def file_profile(spark, sf_dir):
-    """Profile of CSV files, one per language."""
+    """Profile of CSV files, a folder per language, null among them."""
     root = scratch_path(spark, "profiles")
     docs = views.table(spark, sf_dir, "documents")
-    langs = [r.lang for r in docs.select("lang").distinct().collect()]
-    for lang in langs:
-        part = docs.filter(F.col("lang") == lang).select("source", views.csv_text().alias("text"))
-        write_csv(part.coalesce(1), f"{root}/{lang}")
-    profiles, _ = profile_files(spark, [f"{root}/*/*.csv"])
-    folder = F.regexp_extract("path", r"/([^/]+)/[^/]+$", 1).alias("lang")
-    return profiles.select(folder, "column", "nulls", "rows", "columns", "distinct_rows", "duplicates")
+    write_csv(docs.select("lang", "source", views.csv_text().alias("text")), root, by="lang")
+    profiles, _ = profile_files(spark, [f"{root}/*"], folders=True)
+    folder = F.regexp_extract("path", r"/lang=([^/]+)$", 1)
+    lang = F.when(folder != "__HIVE_DEFAULT_PARTITION__", folder).alias("lang")
+    return profiles.select(lang, "column", "nulls", "rows", "columns", "distinct_rows", "duplicates")
 
 
 @query

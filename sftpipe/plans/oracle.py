@@ -461,9 +461,9 @@ with t as (select lang, source, {_CSV_TEXT} as text from documents),
 n as (select lang, count(*) as rows, count(*) - count(source) as no_source, count(*) - count(text) as no_text
       from t group by lang),
 d as (select lang, count(*) as distinct_rows from (select distinct * from t) group by lang)
-select lang, x as "column", case x when 'text' then no_text else no_source end as nulls, rows,
+select n.lang, x as "column", case x when 'text' then no_text else no_source end as nulls, rows,
   2 as columns, distinct_rows, rows - distinct_rows as duplicates
-from n join d using (lang), (select unnest(['source', 'text']) as x)""",
+from n join d on n.lang is not distinct from d.lang, (select unnest(['source', 'text']) as x)""",
         "jsonl_round_trip": _scored("""
 select instruction, input, output, source, complexity, clarity, informativeness, reason, _error,
   count(*) as copies, count(*) as places from scored group by all"""),

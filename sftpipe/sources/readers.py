@@ -190,12 +190,14 @@ def _chunks(files: list[str], profiled) -> Iterator[tuple[DataFrame | None, list
 
 
 def profile_files(
-    spark: SparkSession, patterns: Iterable[str]
+    spark: SparkSession, patterns: Iterable[str], folders: bool = False
 ) -> tuple[DataFrame | None, list[tuple[str, str]]]:
     """Profile of each CSV on its own, and (path, error) of the ones skipped.
 
     Files with the same header are one plan, grouped by file. Where a read fails, at the
-    start or halfway, the files are halved until the bad ones are alone.
+    start or halfway, the files are halved until the bad ones are alone. With ``folders`` the
+    files of a folder are one table, and its path is that of the folder; files of one folder
+    with other headers, or beside a bad one, are tables of their own.
     """
     headers: dict[tuple[str, ...], list[str]] = {}
     skipped: list[tuple[str, str]] = []
@@ -211,9 +213,13 @@ def profile_files(
             members = list(enumerate(some))
             table = _read_group(spark, header, members, "_order", True)
             place = F.shiftright("_order", _ROW_BITS)
-            paths = F.broadcast(spark.createDataFrame(members, "_place bigint, path string"))
-            found = profile(table.select(place.alias("_place"), *[f"`{c}`" for c in header]), by="_place")
-            return found.join(paths, "_place").select("path", *[c for c in found.columns if c != "_place"])
+            named = [(n, f.rpartition("/")[0] if folders else f) for n, f in members]
+            first = {name: n for n, name in reversed(named)}
+            paths = F.broadcast(spark.createDataFrame([(n, first[name], name) for n, name in named], "_file bigint, _place bigint, path string"))
+            placed = table.select(place.alias("_file"), *[f"`{c}`" for c in header]).join(paths.drop("path"), "_file")
+            found = profile(placed.select("_place", *[f"`{c}`" for c in header]), by="_place")
+            names = paths.filter("_file = _place").select("_place", "path")
+            return found.join(names, "_place").select("path", *[c for c in found.columns if c != "_place"])
 
         for part, bad in _chunks(files, profiled):
             skipped += bad

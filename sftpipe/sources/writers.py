@@ -15,12 +15,13 @@ def append_scored(scored: DataFrame, path: str, overwrite: bool = False) -> None
     write_jsonl(scored, path, "overwrite" if overwrite else "append")
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """Headered UTF-8 CSV without a byte-order mark."""
-    df.write.mode("overwrite").options(
+def write_csv(df: DataFrame, path: str, by: str | None = None) -> None:
+    """Headered UTF-8 CSV without a byte-order mark; a folder for each value of ``by``."""
+    writer = df.write.mode("overwrite").options(
         header=True, quote='"', escape='"', emptyValue="",
         ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
-    ).csv(path)
+    )
+    (writer.partitionBy(by) if by else writer).csv(path)
 
 
 def write_splits(df: DataFrame, path: str) -> None:

@@ -143,3 +143,14 @@ def test_publish_fields_and_splits(spark, tmp_path):
     assert tuple(got.first()) == ("i", None, "o", None, None, 4.0, None)
     write_splits(got.withColumn("split", F.lit("train")), str(tmp_path / "p"))
     assert (tmp_path / "p" / "split=train").is_dir()
+
+
+def test_profile_of_folders(spark, tmp_path):
+    rows = [(i, "x" if i % 4 else None, lang) for i in range(20) for lang in ("a", "b", None)]
+    df = spark.createDataFrame(rows, "id int, text string, lang string").repartition(3)
+    write_csv(df, str(tmp_path / "t"), by="lang")
+    profiles, skipped = profile_files(spark, [str(tmp_path / "t" / "*")], folders=True)
+    assert skipped == []
+    found = {(r.path.rpartition("=")[2], r.column): (r.rows, r.nulls) for r in profiles.collect()}
+    folders = ("a", "b", "__HIVE_DEFAULT_PARTITION__")
+    assert found == {(f, c): (20, 5 * (c == "text")) for f in folders for c in ("id", "text")}
