@@ -29,9 +29,9 @@ from sftpipe.llm.common import filled, map_texts
 #: A byte's character in the pieces: no white space, no control character.
 _SHIFT = 0x100
 _TO_PIECE = {byte: byte + _SHIFT for byte in range(256)}
-#: Bytes of the encodings that a task keeps for its next texts, what an entry takes besides its
-#: characters, and characters of a piece that is kept.
-CACHE_BYTES, ENTRY_BYTES, CACHE_CHARS = 32 << 20, 200, 64
+#: Bytes of the encodings that a task keeps for its next texts, in each of two generations, what an
+#: entry takes besides its characters, and characters of a piece that is kept.
+CACHE_BYTES, ENTRY_BYTES, CACHE_CHARS = 16 << 20, 200, 64
 _SPACES = re.compile(r"\s\s")
 _BLANK = re.compile(r"(?<=\S) (?=\S)")
 
@@ -107,11 +107,16 @@ class Codec:
         self.find = regex.compile(unicode_pattern(pattern)).findall
         pieces = [self.model.id_to_piece(i) for i in range(self.model.vocab_size() - 1)]
         self.bytes_of = {str(i): bytes(ord(c) - _SHIFT for c in p) for i, p in enumerate(pieces)}
+        self.forget()
+
+    def forget(self) -> None:
         self.known: dict[str, str] = {}
+        self.older: dict[str, str] = {}
         self.known_bytes = 0
 
-    def forget(self) -> None:
-        self.known, self.known_bytes = {}, 0
+    def _keep(self, piece: str, ids: str) -> None:
+        self.known[piece] = ids
+        self.known_bytes += ENTRY_BYTES + len(piece) + len(ids)
 
     def _encoded(self, pieces: list[str]) -> list[str]:
         """Ids of each piece, joined by blanks; its pre-tokens are encoded one by one."""
@@ -132,18 +137,22 @@ class Codec:
             rest.pop()
             rest[-1:] = [rest[-1] + " "] if rest else []
             first = first if rest else first + " "
-        known, long = self.known, {}
-        if fresh := list(set(rest).difference(known)):
+        known, older, long = self.known, self.older, {}
+        if fresh := set(rest).difference(known):
+            met = [p for p in fresh if p in older]
+            for piece in met:
+                self._keep(piece, older[piece])
+            fresh = list(fresh.difference(met))
             for piece, ids in zip(fresh, self._encoded([" " + p for p in fresh])):
                 if len(piece) > CACHE_CHARS:
                     long[piece] = ids
                 else:
-                    known[piece] = ids
-                    self.known_bytes += ENTRY_BYTES + len(piece) + len(ids)
+                    self._keep(piece, ids)
         ids_of = known.__getitem__ if not long else lambda p: long[p] if p in long else known[p]
         ids = " ".join([self._encoded([first])[0], *map(ids_of, rest)])
         if self.known_bytes > CACHE_BYTES:
-            self.forget()
+            # What is not met again before the next generation is full is forgotten.
+            self.known, self.older, self.known_bytes = {}, known, 0
         return ids
 
     def decode_joined(self, ids: str) -> bytes:

@@ -49,8 +49,11 @@ def test_known_pieces_do_not_change_results(codec, reference, monkeypatch):
             assert codec.encode(text) == reference.encode_ordinary(text)
             assert codec.known_bytes <= most and not any(len(p) > byte_bpe.CACHE_CHARS for p in codec.known)
     assert codec.known
+    monkeypatch.setattr(byte_bpe, "CACHE_BYTES", 1)
+    assert codec.encode("a b c") == reference.encode_ordinary("a b c") and codec.older and not codec.known
+    assert codec.encode("a b c") == reference.encode_ordinary("a b c")
     codec.forget()
-    assert not codec.known and not codec.known_bytes
+    assert not codec.known and not codec.older and not codec.known_bytes
 
 
 def test_a_task_leaves_nothing_behind(ranks):
