@@ -39,6 +39,15 @@ def allow_repeated_keys(spark: SparkSession) -> None:
         spark.conf.set(name, RECOMMENDED_CONF[name])
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Hold Arrow batches of long texts to the recommended size, in a session that ``get_spark``
+    has not made: a batch is held by the JVM and, as objects, by the Python worker."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    most = int(RECOMMENDED_CONF[name])
+    if not 0 < int(spark.conf.get(name, "10000")) <= most:
+        spark.conf.set(name, str(most))
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Folder shared by all executors for intermediate tables.
 
