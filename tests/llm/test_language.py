@@ -19,16 +19,28 @@ def greedy(text, sample):
     return phrases
 
 
-def test_phrases_equal_a_greedy_parse():
+def test_phrases_equal_a_greedy_parse_of_whole_texts():
     draw = random.Random(1)
     samples = {n: bytes(draw.choice(b"abc ") for _ in range(300)) for n in ("x", "y")}
     model = language.fit(samples)
-    texts = [bytes(draw.choice(b"abcd ") for _ in range(n)) for n in (0, 1, 2, 50, 255, 256, 257, 1000)]
+    texts = [bytes(draw.choice(b"abcd ") for _ in range(n)) for n in (0, 1, 2, 50, 255, 256, 257, 1000, 5000)]
     found = language.phrase_counts(texts, model)
-    step = language.STRETCH
     for text, row in zip(texts, found):
-        parts = [text[i : i + step] for i in range(0, len(text), step)]
-        assert row.tolist() == [sum(greedy(p, samples[n]) for p in parts) for n in ("x", "y")]
+        assert row.tolist() == [greedy(text, samples[n]) for n in ("x", "y")]
+
+
+@pytest.mark.parametrize("rounds", [0, 1, 8])
+def test_parses_that_meet_late_or_never(rounds, monkeypatch):
+    monkeypatch.setattr(language, "ROUNDS", rounds)
+    draw = random.Random(2)
+    prose = bytes(draw.choice(b"abc ") for _ in range(6000))
+    samples = {"once": prose, "same": b"a" * 97, "long": b"a" * 1009, "half": prose[:3000] + b"a" * 300}
+    model = language.fit(samples)
+    texts = [prose, prose[1:5900], b"a" * 9000, b"z" * 600, prose[100:1500] + b"a" * 2000 + prose, b"", b"a" * 512]
+    found = language.phrase_counts(texts, model)
+    assert found[0, model[0].index("once")] == 1
+    for text, row in zip(texts, found):
+        assert row.tolist() == [greedy(text, samples[n]) for n in model[0]]
 
 
 def test_reduced():
@@ -82,3 +94,21 @@ def test_odd_rows(odd_docs, odd_rows):
 
 def test_empty_table(no_docs):
     assert language.held_out_languages(no_docs, "doc_id", "text", "lang").collect() == []
+
+
+def test_more_languages_than_a_model_holds(spark, prose):
+    docs = spark.createDataFrame(prose, "doc_id bigint, text string, lang string")
+    held = docs.selectExpr("*", "false AS held_out")
+    whole = language.learn(docs, "doc_id", "text", "lang")
+    parts = language.learn(docs, "doc_id", "text", "lang", languages=2)
+    assert [m[0] for m in whole] == [["aa", "bb", "cc"]] and [m[0] for m in parts] == [["aa", "bb"], ["cc"]]
+    rows = [sorted(language.predict(held, "doc_id", "text", m).collect()) for m in (whole, parts)]
+    assert rows[0] == rows[1]
+
+
+def test_a_row_repeated_often_is_one_text_of_the_sample(spark):
+    rows = [(1, "aba " * 50, "a")] * 3000 + [(i, "cd" * i, "a") for i in range(2, 40)] + [(None, "ef " * 9, "a")] * 2
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    [(names, codes, _, sizes)] = language.learn(docs, "doc_id", "text", "lang")
+    # Every distinct text is in the sample once, the one with a null key too.
+    assert names == ["a"] and sizes == [sum(len(t.strip()) + 1 for t in {r[1] for r in rows})]
