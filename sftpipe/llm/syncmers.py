@@ -1,16 +1,20 @@
 """Document fingerprints from closed syncmers, in DataFrame functions only.
 
-A text is a sequence of units: runs of characters that are no ASCII white space, longer
-runs cut after ``UNIT_CHARS`` characters. Of ``K`` units in a row, all windows of ``S``
+A text is a sequence of units: runs of at most ``UNIT_CHARS`` characters that are no ASCII white
+space; of a longer run, as of a script without blanks, each character up to the last
+``UNIT_CHARS``, which are one unit. So what a unit is depends on the characters after it alone,
+and no further than that. Of ``K`` units in a row, all windows of ``S``
 units are hashed; the K units are a closed syncmer if the smallest of these hashes is the
 first or the last. Whether they are chosen depends on nothing around them, so an edit
 changes only the anchors it touches, and at least one of any K - S + 1 neighbouring starts
-is chosen. A fingerprint is the hashes of the chosen K-mers in text order without repeats;
-two fingerprints are as alike as the share of their anchors that both have.
+is chosen. A fingerprint is the hashes of the chosen K-mers in text order without repeats, 31 bits each.
+Few K-mers fit into a text of under ``SHORT_UNITS`` units, so its single units follow, marked by
+a bit of their own. Two fingerprints are as alike as the share of their anchors that both have;
+single units count only where both have them, so that like is compared with like.
 
 Defined cases: a null or empty text, or one of white space, has no anchors; two such
 fingerprints are alike to 1, one such and another to 0; a text of fewer than K units has its
-units as its only anchors; texts of any length are read whole; equal keys are ordered by a hash of
+units as its only anchors, and likeness 0 to one of ``SHORT_UNITS`` or more; texts of any length are read whole; equal keys are ordered by a hash of
 their texts; a null key comes after all others; only the key and text columns are read.
 """
 
@@ -22,10 +26,12 @@ from pyspark.sql import functions as F
 from sftpipe.llm.common import filled
 
 K, S = 8, 2
-#: Texts with fewer characters have single units as anchors as well, as few K-mers fit in them.
-SHORT_CHARS = 200
+SHORT_UNITS = 32
 UNIT_CHARS = 16
-UNIT = rf"[^\x20\x09-\x0D]{{1,{UNIT_CHARS}}}"
+_BLACK = r"[^\x20\x09-\x0D]"
+UNIT = rf"{_BLACK}{{1,{UNIT_CHARS}}}+(?!{_BLACK})|{_BLACK}"
+#: Marks the digest of a single unit.
+SINGLE = 1 << 31
 #: Rows in a run of neighbouring keys that is ordered by one task, and runs at most.
 RUN_ROWS, MAX_RUNS = 500, 16_384
 LEAST_KEY = -(1 << 63)
@@ -38,8 +44,12 @@ def _bound(value: Column, use) -> Column:
 
 
 def _digest(k_mer: Column) -> Column:
-    """32 bits of a hash, as a long that is not negative."""
-    return F.shiftrightunsigned(F.xxhash64(k_mer), 32)
+    """31 bits of a hash, as a long that is not negative."""
+    return F.shiftrightunsigned(F.xxhash64(k_mer), 33)
+
+
+def _single(unit: Column) -> Column:
+    return F.lit(SINGLE) + _digest(F.array(unit))
 
 
 def _sampled(text: Column, hashed, singles) -> Column:
@@ -66,7 +76,7 @@ def _sampled(text: Column, hashed, singles) -> Column:
         sampled = _bound(both, with_windows)
         return (
             F.when(F.size(h) < K, singles(h))
-            .when(F.length(text) < SHORT_CHARS, F.concat(sampled, singles(h)))
+            .when(F.size(h) < SHORT_UNITS, F.concat(sampled, singles(h)))
             .otherwise(sampled)
         )
 
@@ -83,7 +93,7 @@ def anchors(text: str | Column) -> Column:
         _sampled(
             filled(text),
             lambda h, i: _digest(F.slice(h, i, K)),
-            lambda h: F.transform(h, lambda u: _digest(F.array(u))),
+            lambda h: F.transform(h, _single),
         )
     )
 
@@ -96,7 +106,7 @@ def positioned_anchors(text: str | Column) -> Column:
     return _sampled(
         filled(text),
         lambda h, i: at(i, _digest(F.slice(h, i, K))),
-        lambda h: F.transform(h, lambda u, i: at(i + 1, _digest(F.array(u)))),
+        lambda h: F.transform(h, lambda u, i: at(i + 1, _single(u))),
     )
 
 
@@ -106,12 +116,24 @@ def as_text(fingerprint: str) -> Column:
 
 
 def likeness(a: str, b: str) -> Column:
-    """Shared anchors over all anchors of both, from 0 to 1."""
+    """Shared anchors over all anchors of both, from 0 to 1; single units count where both have
+    them, or where one has no anchors."""
+    def singles(anchors: str) -> Column:
+        # They come last.
+        return F.coalesce(F.get(anchors, F.size(anchors) - 1) >= SINGLE, F.lit(True))
+
     def share(shared: Column) -> Column:
-        union = F.size(a) + F.size(b) - shared
-        return F.when(union == 0, 1.0).otherwise(shared / union)
+        union = shared["a"] + shared["b"] - shared["both"]
+        return F.when(union == 0, 1.0).otherwise(shared["both"] / union)
+
+    def count(anchors: str | Column, all_of_them: bool) -> Column:
+        return F.size(anchors) if all_of_them else F.size(F.filter(anchors, lambda x: x < SINGLE))
+
+    def shares(all_of_them: bool) -> Column:
+        parts = {"a": F.col(a), "b": F.col(b), "both": F.array_intersect(a, b)}
+        return F.struct(*[count(c, all_of_them).alias(n) for n, c in parts.items()])
 
-    return _bound(F.size(F.array_intersect(a, b)), share)
+    return _bound(F.when(singles(a) & singles(b), shares(True)).otherwise(shares(False)), share)
 
 
 def fingerprints(df: DataFrame, key: str, text: str) -> DataFrame:

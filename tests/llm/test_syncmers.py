@@ -1,6 +1,7 @@
 """Against closed syncmers over a plain list, and edits with a known effect."""
 
 import hashlib
+import random
 
 from pyspark.sql import functions as F
 
@@ -8,7 +9,11 @@ from sftpipe.llm import syncmers
 
 
 def units(text):
-    return [w[i : i + 16] for w in _words(text) for i in range(0, len(w), 16)]
+    out = []
+    for w in _words(text):
+        alone = len(w) - 16 if len(w) > 16 else 0
+        out += [*w[:alone], w[alone:]]
+    return out
 
 
 def _words(text):
@@ -47,7 +52,7 @@ def test_positions_are_closed_syncmers(spark, odd_rows):
         assert all(b - a <= syncmers.K - syncmers.S for a, b in zip(wanted, wanted[1:]))
         # A short text also has its units.
         singles = [a.unit for a in found][len(wanted) :]
-        assert singles == (list(range(1, len(h) + 1)) if len(text) < syncmers.SHORT_CHARS else [])
+        assert singles == (list(range(1, len(h) + 1)) if len(h) < syncmers.SHORT_UNITS else [])
 
 
 def test_selection_does_not_depend_on_what_is_around(spark, odd_rows):
@@ -113,3 +118,32 @@ def test_one_row_and_no_rows(spark, no_docs):
 def test_no_python_in_the_plan(odd_docs):
     plan = syncmers.edit_likeness(odd_docs, "doc_id", "text")._jdf.queryExecution().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "ArrowEval", "mapInArrow"))
+
+
+def alike(spark, *texts):
+    """The likeness of each pair of texts."""
+    rows = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(texts)], "i int, a string, b string")
+    prints = rows.select("i", syncmers.anchors("a").alias("a"), syncmers.anchors("b").alias("b"))
+    return [r.x for r in prints.select("i", syncmers.likeness("a", "b").alias("x")).orderBy("i").collect()]
+
+
+def test_units_of_long_runs(spark):
+    texts = ["ab " + "x" * 16, "x" * 17 + " ab", "x" * 40, "", " \t ", "\U0001f600" * 20 + "\n" + "漢字" * 30]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", syncmers._units(F.col("t")).alias("u"))
+    assert {r.i: r.u for r in rows.collect()} == {i: units(t) for i, t in enumerate(texts)}
+
+
+def test_one_character_more_in_a_text_without_blanks(spark):
+    draw = random.Random(4)
+    text, other = ("".join(chr(draw.randrange(0x4E00, 0x9FA5)) for _ in range(3000)) for _ in range(2))
+    longer = [text[:at] + "字" + text[at:] for at in (0, 1, 1500, 2990)]
+    *near, far = alike(spark, *[(text, t) for t in longer], (text, other))
+    assert min(near) > 0.97 and far < 0.01
+
+
+def test_texts_on_both_sides_of_the_short_ones(spark):
+    draw = random.Random(3)
+    words = ["".join(draw.choice("abcdefgh") for _ in range(6)) for _ in range(60)]
+    texts = [" ".join(words[:n]) for n in range(60)]
+    assert min(alike(spark, *zip(texts[syncmers.K :], texts[syncmers.K + 1 :]))) >= 0.6
+    assert alike(spark, (texts[3], texts[50]), ("", texts[50]), ("", "a")) == [0.0, 0.0, 0.0]
