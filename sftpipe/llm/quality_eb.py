@@ -108,9 +108,11 @@ def learn(df: DataFrame, key: str, text: str, labels: DataFrame, sample_rows: in
         for batch in batches:
             yield [(g, features(t)) for g, t in zip(batch["good"], batch["text"])]
 
-    found = map_texts(read.select("good", "text"), "good double, x array<double>", rows)
-    # A key may repeat in the documents.
-    kept = found.limit(2 * sample_rows).collect()
+    # A key may repeat in the documents: of its texts the one with the smallest hash is learned
+    # from, as a key counts once.
+    place = F.struct(F.xxhash64("text"), "text")
+    texts = read.groupBy("key", "good").agg(F.min_by("text", place).alias("text"))
+    kept = map_texts(texts.select("good", "text"), "good double, x array<double>", rows).collect()
     if not kept:
         return fit(np.zeros((0, FEATURES)), np.zeros(0))
     order = np.array([[r["good"], *r["x"]] for r in kept])
