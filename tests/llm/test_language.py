@@ -33,7 +33,7 @@ def test_phrases_equal_a_greedy_parse_of_whole_texts():
 def test_parses_that_meet_late_or_never(rounds, monkeypatch):
     monkeypatch.setattr(language, "ROUNDS", rounds)
     draw = random.Random(2)
-    prose = bytes(draw.choice(b"abc ") for _ in range(6000))
+    prose = bytes(draw.choice(b"abc ") for _ in range(12_000))
     samples = {"once": prose, "same": b"a" * 97, "long": b"a" * 1009, "half": prose[:3000] + b"a" * 300}
     model = language.fit(samples)
     texts = [prose, prose[1:5900], b"a" * 9000, b"z" * 600, prose[100:1500] + b"a" * 2000 + prose, b"", b"a" * 512]
