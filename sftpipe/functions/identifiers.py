@@ -23,21 +23,28 @@ _HEX, _LETTERS = "0123456789abcdef", "ghijklmnopabcdef"
 #: No letter, digit or underscore before or after.
 _BEFORE, _AFTER = "(?<![0-9A-Za-z_])", "(?![0-9A-Za-z_])"
 _MOBILE = r"1[3-9]\d(?:[ -]?\d{4}){2}"
-#: The shapes; a leading plus or bracket needs no boundary before it.
-SHAPES = (
-    _BEFORE + r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}",
-    _BEFORE + r"\d{1,3}(?:\.\d{1,3}){3}",
-    _BEFORE + r"[1-9]\d{16}[0-9Xx]",
-    _BEFORE + r"\d{4}(?:[ -]?\d{4}){2,3}(?:\d{1,3}|[ -]\d{3})?",
-    _BEFORE + r"\d{4}[ -]\d{6}[ -]\d{5}",
+#: The shapes that begin with a digit.
+NUMBERS = (
+    r"\d{1,3}(?:\.\d{1,3}){3}",
+    r"[1-9]\d{16}[0-9Xx]",
+    r"\d{4}(?:[ -]?\d{4}){2,3}(?:\d{1,3}|[ -]\d{3})?",
+    r"\d{4}[ -]\d{6}[ -]\d{5}",
+    r"(?:0086[ -]?|86[ -]?)?" + _MOBILE,
+    r"(?:1[ .-])?\d{3}[.-]\d{3}[.-]\d{4}",
+    r"0\d{2,3}[ -]\d{7,8}",
+)
+#: A name before an at sign, taken whole: it holds none, so no shorter one has it behind it.
+EMAIL = r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}+@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}"
+#: A leading plus or bracket needs no boundary before it.
+SIGNED = (
     r"\+86[ -]?" + _MOBILE,
-    _BEFORE + r"(?:0086[ -]?|86[ -]?)?" + _MOBILE,
     r"\+1[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}",
     r"\(\d{3}\) ?\d{3}[ .-]\d{4}",
-    _BEFORE + r"(?:1[ .-])?\d{3}[.-]\d{3}[.-]\d{4}",
-    _BEFORE + r"0\d{2,3}[ -]\d{7,8}",
 )
-CANDIDATE = "(?:" + "|".join(SHAPES) + ")" + _AFTER
+#: First characters are told apart before any shape is tried: most of a text begins none.
+CANDIDATE = (
+    f"(?:(?=[0-9A-Za-z]){_BEFORE}(?:{EMAIL}|(?=[0-9])(?:{'|'.join(NUMBERS)}))|(?=[+(])(?:{'|'.join(SIGNED)})){_AFTER}"
+)
 # A mark around candidates. Its first character is doubled up in texts that have it.
 _ESCAPE, _MARK, _ESCAPED = "\x01", "\x01\x02", "\x01\x03"
 
@@ -69,11 +76,13 @@ def is_resident_id(value: Column) -> Column:
     """A province, a date of birth of this or the last century, and a valid check character."""
     born = F.substring(value, 7, 8)
     # Weights are powers of two modulo 11; an X stands for ten.
-    values = F.transform(F.split(F.upper(value), ""), lambda d: F.when(d == "X", 10).otherwise(d.cast("int")))
+    values = F.transform(F.split(value, ""), lambda d: F.when(d.isin("X", "x"), 10).otherwise(d.cast("int")))
     rest = F.aggregate(values, F.lit(0), lambda total, d: (2 * total + d) % 11)
     shaped = value.rlike(r"^\d{17}[0-9Xx]$") & born.rlike("^(19|20)")
     dated = F.try_to_timestamp(born, F.lit("yyyyMMdd")).isNotNull()
-    return F.when(shaped, F.substring(value, 1, 2).isin(*PROVINCES) & dated & (rest == 1)).otherwise(False)
+    # The date last: a wrong one costs an exception.
+    valid = F.when(F.substring(value, 1, 2).isin(*PROVINCES) & (rest == 1), dated).otherwise(False)
+    return F.when(shaped, valid).otherwise(False)
 
 
 def is_mobile(value: Column) -> Column:
@@ -118,7 +127,7 @@ def normal_form(value: Column, kind: Column) -> Column:
     return (
         F.when(kind == "email", F.lower(value))
         .when(kind == "ipv4", value)
-        .when(kind == "resident_id", F.upper(value))
+        .when(kind == "resident_id", F.translate(value, "x", "X"))
         .when(kind == "mobile", F.right(digits, F.lit(11)))
         .when((kind == "phone") & (F.length(digits) == 11) & digits.startswith("1"), F.right(digits, F.lit(10)))
         .otherwise(digits)

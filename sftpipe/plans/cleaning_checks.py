@@ -38,7 +38,7 @@ def identifier_mentions(spark, sf_dir):
 @query
 def identifiers_left(spark, sf_dir):
     """What a second pass over replaced texts still finds, which is nothing."""
-    once = D.deidentify(_personal(spark, sf_dir), ["text"], SECRET)
+    once = write_stage(D.deidentify(_personal(spark, sf_dir), ["text"], SECRET), "replaced")
     left = D.identifiers(once, "doc_id", ["text"], SECRET)
     texts = once.agg(F.count("text").alias("texts"), F.sum(F.length("text")).alias("chars"))
     return texts.join(left.agg(F.count(F.lit(1)).alias("left")))

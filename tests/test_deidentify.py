@@ -145,3 +145,25 @@ def test_no_shuffle_and_empty_table(spark, cases):
     done = D.deidentify(cases, ["text"], SECRET)
     assert "Exchange" not in done._jdf.queryExecution().executedPlan().toString()
     assert D.deidentify(cases.limit(0), ["text"], SECRET).collect() == []
+
+
+def test_second_pass_reads_what_the_first_wrote(spark, tmp_path):
+    from sftpipe.plans.checks import QUERIES
+    from sftpipe.plans import cleaning_checks  # noqa: F401
+
+    rows = [(1, "call 139 1234 5678", "en", "s", 18), (2, None, "en", "s", 0)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(
+        f"{tmp_path}/documents.parquet"
+    )
+    found = QUERIES["identifiers_left"](spark, str(tmp_path))
+    plan = found._jdf.queryExecution().analyzed().toString()
+    assert "documents.parquet" not in plan and plan.count("sha2") == 2  # one pass of the HMAC's two hashes
+    assert [r.left for r in found.collect()] == [0]
+
+
+def test_boundary_and_at_sign(spark):
+    texts = ["x13912345678 13912345678x", "a.b@c@mail.example.com", "(743) 555-1234 +8613912345678", "a" * 70 + "@x.org"]
+    cases = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "k long, text string")
+    found = D.identifiers(cases, "k", ["text"], b"0123456789abcdef")
+    kinds = sorted((r.k, r.kind) for r in found.collect())
+    assert kinds == [(1, "email"), (2, "mobile"), (2, "phone")]
