@@ -52,6 +52,12 @@ def low_references() -> dict[int, str]:
     return {n: text for n, text in points.items() if text}
 
 
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once; an expression in a lambda is evaluated again
+    wherever it is named."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _tag(names: list[str], closing: str = "/?") -> str:
     return rf"(?i)<{closing}(?:{'|'.join(names)}){_ATTRIBUTES}>"
 
@@ -90,9 +96,18 @@ def unescape_once(text: Column) -> Column:
 
 def without_markup(text: Column) -> Column:
     """The text without comments, declarations and tags; a block element ends a line."""
-    found = F.regexp_replace(F.regexp_replace(text, COMMENT, ""), DECLARATION, "")
-    for name in UNREAD:
-        found = F.regexp_replace(found, _unread(name), "")
+
+    def removed(found: Column) -> Column:
+        for name in UNREAD:
+            found = F.regexp_replace(found, _unread(name), "")
+        return found
+
+    # Most texts and rounds have none of the first three, which a plain search tells.
+    found = F.when(text.contains("<!--"), F.regexp_replace(text, COMMENT, "")).otherwise(text)
+    found = _let(found, lambda t: F.when(
+        t.contains("<!") | t.contains("<?") | t.contains("]]>"), F.regexp_replace(t, DECLARATION, "")
+    ).otherwise(t))
+    found = _let(found, lambda t: F.when(t.rlike(f"(?i)</(?:{'|'.join(UNREAD)})"), removed(t)).otherwise(t))
     found = F.regexp_replace(found, _tag(BLOCKS), "\n")
     found = F.regexp_replace(found, _tag([*INLINE, *UNREAD]), "")
     return F.when(text.contains("<") | text.contains("]]>"), found).otherwise(text)
@@ -103,13 +118,13 @@ def strip_residue(text: str | Column) -> Column:
     text = F.col(text) if isinstance(text, str) else text
     # A changing round lowers twice the number of & plus that of <, or that of ]]>.
     most = 2 * F.regexp_count(text, F.lit("&")) + F.regexp_count(text, F.lit("<|\\]\\]>")) + 1
-    # The text and what it was a round before; nothing more is done once they are equal.
-    state = lambda now, before: F.struct(now.alias("now"), before.alias("before"))
-    step = lambda now: unescape_once(without_markup(now))
+    # The text and whether its last round changed it; nothing more is done once one has not.
+    state = lambda now, more: F.struct(now.alias("now"), more.alias("more"))
+    step = lambda now: _let(without_markup(now), unescape_once)
     rounds = F.aggregate(
         F.sequence(F.lit(0), most),
-        state(text, F.lit(None).cast("string")),
-        lambda s, _: F.when(s["now"].eqNullSafe(s["before"]), s).otherwise(state(step(s["now"]), s["now"])),
+        state(text, F.lit(True)),
+        lambda s, _: F.when(s["more"], _let(step(s["now"]), lambda now: state(now, now != s["now"]))).otherwise(s),
         lambda s: s["now"],
     )
     return F.when(text.rlike(r"[<&]|\]\]>"), rounds).otherwise(text)

@@ -101,3 +101,14 @@ def test_stays_in_the_jvm(spark):
     df = spark.createDataFrame([("x",)], "text string").select(R.strip_residue("text"))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Exchange" not in plan
+
+
+def test_a_round_names_its_text_once(spark):
+    """A lambda evaluates an expression wherever it is named, so a round's removal is named once."""
+    from pyspark.sql import functions as F
+
+    from sftpipe.functions.residue import COMMENT, strip_residue
+
+    df = spark.createDataFrame([("a<br>b",)], "t string")
+    plan = df.select(strip_residue(F.col("t")).alias("o"))._jdf.queryExecution().analyzed().expressions().toString()
+    assert plan.count(COMMENT) == 1
