@@ -22,17 +22,15 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
-
 from sftpipe.operators.joins import BROADCAST_ROWS, join_hot
 from sftpipe.operators.split import SPLIT_SEED, numbered, shuffle_rank
-from sftpipe.session import write_counted, write_stage
+from sftpipe.session import spread, write_counted, write_stage
 
 UNIT = 1_000_000
 #: Cells of a unit in the histogram of shuffled excesses: twice as many rows per size reach the
 #: driver at most.
 CELLS = 1000
 
-
 @dataclass(frozen=True)
 class RelevanceRule:
     """Characters of a gram (two for Han text, more for letters), ``quantile`` of the shuffled
@@ -45,18 +43,19 @@ class RelevanceRule:
 
 
 def grams(text: Column, size: int = 2) -> Column:
-    """The distinct stretches of ``size`` letters and digits, in lower case; a shorter text is one."""
-    plain = F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]", "")
+    """The stretches of ``size`` letters and digits, in lower case; a shorter text is one."""
+    plain = F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", "")
     found = F.regexp_extract_all(plain, F.lit(rf"(?s)(?=(.{{{size}}}))."), F.lit(1))
-    return F.array_distinct(F.when(F.length(plain).between(1, size - 1), F.array(plain)).otherwise(found))
+    return F.when(F.length(plain).between(1, size - 1), F.array(plain)).otherwise(found)
 
 
 def pair_sets(df: DataFrame, key: str, question: str, answer: str, group: str | None = None, size: int = 2) -> DataFrame:
-    """(key, of, q, a): the hashed grams of both sides; ``of`` is the group that has its own
-    weights, for example a language."""
+    """(key, of, q, a): the distinct hashed grams of both sides; ``of`` is the group that has its
+    own weights, for example a language."""
     of = F.lit("") if group is None else F.coalesce(F.col(group).cast("string"), F.lit(""))
-    hashed = lambda side: F.transform(
-        grams(F.coalesce(F.col(side), F.lit("")), size), lambda b: F.xxhash64(of, b)
+    # Numbers are told apart faster than texts.
+    hashed = lambda side: F.array_distinct(
+        F.transform(grams(F.coalesce(F.col(side), F.lit("")), size), lambda b: F.xxhash64(of, b))
     )
     return df.select(F.col(key).alias("key"), of.alias("of"), hashed(question).alias("q"), hashed(answer).alias("a"))
 
@@ -82,10 +81,10 @@ def answer_weights(sets: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> tup
     count = F.count(F.lit(1)).alias("n")
     answers = _by_band(banded.groupBy("of", "band").agg(count), "of")
     asked, grams_asked = write_counted(sets.select(F.explode("q").alias("code")).distinct(), "grams-asked")
-    spread = banded.select("of", "band", F.explode("a").alias("code"))
+    flat = banded.select("of", "band", F.explode("a").alias("code"))
     if grams_asked <= broadcast_rows:  # questions are short: most grams of answers need no count
-        spread = spread.join(F.broadcast(asked), "code", "left_semi")
-    held = _by_band(spread.groupBy("of", "code", "band").agg(count), "of", "code")
+        flat = flat.join(F.broadcast(asked), "code", "left_semi")
+    held = _by_band(flat.groupBy("of", "code", "band").agg(count), "of", "code")
     totals = answers.select("of", F.col("n").alias("total"))
     side = F.broadcast(totals) if totals.count() <= BROADCAST_ROWS else totals
     weights = held.join(side, "of").select(
@@ -95,31 +94,34 @@ def answer_weights(sets: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> tup
 
 
 def with_other_answers(sets: DataFrame, seed: int = SPLIT_SEED) -> DataFrame:
-    """``sets`` with ``other``, the answer grams of the next row in seeded order within the group.
+    """(key, of, q, band, other_band, own, met): the grams of a question that its answer holds, and
+    those that the answer of the next row in seeded order within the group holds.
 
-    The last row of a group has none; rows are ordered by group, so the next one is of another.
+    The last row of a group has no other; rows are ordered by group, so the next one is of another.
+    Questions travel, as they are short: an answer's grams, many times its text, move once, to the
+    question before.
     """
     order = sets.select("key", "of").orderBy("of", shuffle_rank("key", seed), "key")
-    ranks = write_stage(numbered(order, "rank"), "ranks")
-    placed = sets.join(ranks.select("key", "rank"), "key")
-    before = placed.select((F.col("rank") - 1).alias("rank"), F.col("of").alias("other_of"), F.col("a").alias("other"))
-    joined = placed.join(before, "rank", "left")
-    other = F.when(F.col("of") == F.col("other_of"), F.col("other")).alias("other")
-    return joined.select("key", "of", "q", "a", other)
+    ranks = write_stage(numbered(order, "rank"), "ranks").select("key", "rank")
+    after = ranks.select(F.col("key").alias("next"), (F.col("rank") - 1).alias("rank"))
+    asked = sets.select("key", "of", "q", _size_band(F.col("a")).alias("band"), F.array_intersect("q", "a").alias("own"))
+    placed = asked.join(ranks.join(after, "rank", "left").select("key", "next"), "key")
+    others = sets.select(F.col("key").alias("next"), F.col("of").alias("other_of"), F.col("a").alias("other"))
+    joined = placed.join(others, "next", "left")
+    same = F.col("of") == F.col("other_of")
+    return joined.select(
+        "key", "of", "q", "band", F.when(same, _size_band(F.col("other"))).alias("other_band"), "own",
+        F.when(same, F.array_intersect("q", "other")).alias("met"),
+    )
 
 
 def overlaps(
     pairs: DataFrame, weights: DataFrame, groups: DataFrame, broadcast_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
-    """(key, band, score, excess, other_band, other_excess) of ``pairs`` (key, of, q, a, other), in
-    whole ``UNIT`` parts, rounded down, or null."""
+    """(key, band, score, excess, other_band, other_excess) of ``pairs`` (key, of, q, band,
+    other_band, own, met), in whole ``UNIT`` parts, rounded down, or null."""
     weights, known = write_counted(weights, "gram-weights")
-    sides = pairs.select(
-        "key", "of", "q", _size_band(F.col("a")).alias("band"),
-        F.when(F.col("other").isNotNull(), _size_band(F.col("other"))).alias("other_band"),
-        F.array_intersect("q", "a").alias("own"), F.array_intersect("q", "other").alias("met"),
-    )
-    flat = sides.select("key", "of", "band", "other_band", "own", "met", F.explode_outer("q").alias("code")).select(
+    flat = pairs.select("key", "of", "band", "other_band", "own", "met", F.explode_outer("q").alias("code")).select(
         "key", "of", "band", "other_band", "code",
         F.array_contains("own", F.col("code")).alias("in_own"), F.array_contains("met", F.col("code")).alias("in_other"),
     )
@@ -189,7 +191,7 @@ def relevance(
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Per row ``key``, ``score`` (0 to 1), ``excess``, ``bound`` and ``irrelevant``."""
-    sets = write_stage(pair_sets(df, key, question, answer, group, rule.gram), "pair-sets")
+    sets = write_stage(pair_sets(spread(df, key), key, question, answer, group, rule.gram), "pair-sets")
     pairs = with_other_answers(sets, rule.seed)
     scores = write_stage(overlaps(pairs, *answer_weights(sets, broadcast_rows), broadcast_rows), "overlaps")
     bounds, of_all = shuffled_bounds(scores, rule)

@@ -113,3 +113,21 @@ def test_does_not_depend_on_partitions(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "id bigint, q string, a string")
     assert R.relevance(df, "id", "q", "a").collect() == []
+
+
+def test_grams_of_answers_move_once(spark):
+    """They are many times the text, so one shuffle carries them, from the answer to the question before."""
+    from pyspark.sql import functions as F
+
+    rows = [(i, "", [i, i + 1], [i, 7, 8]) for i in range(6)]
+    sets = spark.createDataFrame(rows, "key long, of string, q array<long>, a array<long>")
+    moved = R.with_other_answers(sets)
+    plan = moved._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 3 and moved.columns == ["key", "of", "q", "band", "other_band", "own", "met"]
+    found = {r.key: r for r in moved.collect()}
+    order = [r.key for r in sets.orderBy(R.shuffle_rank("key"), "key").collect()]
+    for k, after in zip(order, [*order[1:], None]):
+        q, a = {k, k + 1}, {k, 7, 8}
+        assert set(found[k].own) == q & a and found[k].band == 1
+        assert found[k].met is None if after is None else set(found[k].met) == q & {after, 7, 8}
+    assert sets.select(F.col("a")).count() == 6
