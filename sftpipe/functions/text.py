@@ -10,6 +10,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from sftpipe.session import bound_active_batches
+
 # Fixed values.
 CONTROL_CHARS = r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]"
 HAN_CLASS = r"[\u4e00-\u9fff]"
@@ -33,11 +35,13 @@ def _nfkc(texts: pd.Series) -> pd.Series:
 
 
 def once(udf):
-    """Keep a filter on a Python result from being pushed below it.
+    """Keep a filter on a Python result from being pushed below it, and its batches small.
 
     Catalyst copies a deterministic Python function into every filter on its result
-    and so evaluates it again, often before a repartition.
+    and so evaluates it again, often before a repartition. A batch of whole texts is held
+    several times over by the worker, so its rows are bounded whatever the session says.
     """
+    bound_active_batches()
     return udf.asNondeterministic()
 
 

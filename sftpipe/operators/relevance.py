@@ -22,6 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
+
 from sftpipe.operators.joins import BROADCAST_ROWS, join_hot
 from sftpipe.operators.split import SPLIT_SEED, numbered, shuffle_rank
 from sftpipe.session import spread, write_counted, write_stage
@@ -31,6 +32,7 @@ UNIT = 1_000_000
 #: driver at most.
 CELLS = 1000
 
+
 @dataclass(frozen=True)
 class RelevanceRule:
     """Characters of a gram (two for Han text, more for letters), ``quantile`` of the shuffled

@@ -48,6 +48,12 @@ def bound_batches(spark: SparkSession) -> None:
         spark.conf.set(name, str(most))
 
 
+def bound_active_batches() -> None:
+    """``bound_batches`` for column expressions, which name no session."""
+    if spark := SparkSession.getActiveSession():
+        bound_batches(spark)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Folder shared by all executors for intermediate tables.
 
