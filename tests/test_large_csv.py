@@ -87,3 +87,24 @@ def test_short_rows_blank_lines_and_empty_files(spark, tmp_path):
     (tmp_path / "c.csv").write_text("other\n1\n")
     with pytest.raises(ValueError, match="another header"):
         read_large_csv(spark, str(tmp_path / "*.csv"))
+
+
+def test_written_files_are_bounded(spark, tmp_path, monkeypatch):
+    from sftpipe.plans import store_checks
+
+    rows = [(i, "text of a row " * 20, "en") for i in range(400)] + [(7, "twice", "en")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    whole = store_checks.large_csv_round_trip(spark, str(tmp_path)).collect()
+    sizes = []
+    write = store_checks.write_csv
+
+    def counted(part, path):
+        write(part, path)
+        sizes.append(max(r.n for r in spark.read.text(path).groupBy("_metadata.file_path").agg({"value": "count"}).toDF("f", "n").collect()))
+
+    monkeypatch.setattr(store_checks, "FILE_CHARS", 20000, raising=False)
+    monkeypatch.setattr(store_checks, "write_csv", counted)
+    cut = store_checks.large_csv_round_trip(spark, str(tmp_path)).collect()
+    assert max(sizes) < 190  # rows of a file; a side has 200
+    assert sorted(whole) == sorted(cut) and [r.position for r in sorted(cut)] == list(range(401))
