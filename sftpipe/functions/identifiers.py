@@ -20,8 +20,9 @@ KINDS = ("resident_id", "mobile", "card", "email", "ipv4", "phone")
 #: Hexadecimal digits of a pseudonym: 80 bits.
 PSEUDONYM_DIGITS = 20
 _HEX, _LETTERS = "0123456789abcdef", "ghijklmnopabcdef"
-#: No letter, digit or underscore before or after.
-_BEFORE, _AFTER = "(?<![0-9A-Za-z_])", "(?![0-9A-Za-z_])"
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+#: No letter, digit or underscore of ASCII before or after, by the classes that are looked up.
+_BEFORE, _AFTER = r"(?<!\w)", r"(?!\w)"
 _MOBILE = r"1[3-9]\d(?:[ -]?\d{4}){2}"
 #: The shapes that begin with a digit.
 NUMBERS = (
@@ -34,7 +35,7 @@ NUMBERS = (
     r"0\d{2,3}[ -]\d{7,8}",
 )
 #: A name before an at sign, taken whole: it holds none, so no shorter one has it behind it.
-EMAIL = r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}+@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}"
+EMAIL = r"\p{Alnum}[\w.%+-]{0,63}+@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}"
 #: A leading plus or bracket needs no boundary before it.
 SIGNED = (
     r"\+86[ -]?" + _MOBILE,
@@ -43,7 +44,7 @@ SIGNED = (
 )
 #: First characters are told apart before any shape is tried: most of a text begins none.
 CANDIDATE = (
-    f"(?:(?=[0-9A-Za-z]){_BEFORE}(?:{EMAIL}|(?=[0-9])(?:{'|'.join(NUMBERS)}))|(?=[+(])(?:{'|'.join(SIGNED)})){_AFTER}"
+    rf"(?:(?=\p{{Alnum}}){_BEFORE}(?:{EMAIL}|(?=\d)(?:{'|'.join(NUMBERS)}))|(?=[+(])(?:{'|'.join(SIGNED)})){_AFTER}"
 )
 # A mark around candidates. Its first character is doubled up in texts that have it.
 _ESCAPE, _MARK, _ESCAPED = "\x01", "\x01\x02", "\x01\x03"
@@ -125,7 +126,7 @@ def normal_form(value: Column, kind: Column) -> Column:
     """What all spellings of an identifier have in common."""
     digits = _digits(value)
     return (
-        F.when(kind == "email", F.lower(value))
+        F.when(kind == "email", F.translate(value, _UPPER, _UPPER.lower()))
         .when(kind == "ipv4", value)
         .when(kind == "resident_id", F.translate(value, "x", "X"))
         .when(kind == "mobile", F.right(digits, F.lit(11)))
