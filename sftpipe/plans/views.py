@@ -307,10 +307,12 @@ def relevance_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     every = lambda step, first: F.filter("words", lambda w, i: i % step == first)
     size = F.greatest(F.lit(1), F.floor(F.size("words") / 8)).cast("int")
     asked = own.select("doc_id", "lang", "text", F.slice(every(size, 0), 1, 8).alias("picked"))
-    other = docs.select((F.col("doc_id") - 5).alias("doc_id"), F.col("text").alias("next_text"))
+    taken = F.col("doc_id") % 5 == 0
+    # Only texts that replace an answer are moved.
+    other = docs.select((F.col("doc_id") - 5).alias("doc_id"), F.when(taken, F.col("text")).alias("next_text"))
     mixed = asked.select((F.col("doc_id") - 7).alias("doc_id"), F.slice("picked", 1, 3).alias("noise"))
     joined = asked.join(other, "doc_id", "left").join(mixed, "doc_id", "left")
-    swapped = (F.col("doc_id") % 5 == 0) & F.col("next_text").isNotNull()
+    swapped = taken & F.col("next_text").isNotNull()
     question = F.array_join(F.concat("picked", F.coalesce("noise", F.array().cast("array<string>"))), " ")
     return joined.select(
         "doc_id", "lang", question.alias("question"),

@@ -131,3 +131,53 @@ def test_grams_of_answers_move_once(spark):
         assert set(found[k].own) == q & a and found[k].band == 1
         assert found[k].met is None if after is None else set(found[k].met) == q & {after, 7, 8}
     assert sets.select(F.col("a")).count() == 6
+
+
+def test_texts_are_kept_and_not_their_grams(spark):
+    """An answer has a gram of eight bytes for each character: as arrays, stages were many times the texts."""
+    import os
+
+    from sftpipe.session import scratch_root
+
+    def kept():
+        top = f"{scratch_root(spark)}/{spark.sparkContext.applicationId}".removeprefix("file:")
+        return sum(os.path.getsize(os.path.join(d, f)) for d, _, names in os.walk(top) for f in names if f.endswith(".parquet"))
+
+    draw = random.Random(4)
+    texts = ["".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=20_000)) for _ in range(60)]
+    df = spark.createDataFrame([(i, t[100:130], t) for i, t in enumerate(texts)], "id bigint, q string, a string")
+    before = kept()
+    assert R.relevance(df, "id", "q", "a", rule=R.RelevanceRule(gram=5)).count() == len(texts)
+    assert kept() - before < 2 * sum(map(len, texts))
+
+
+def test_codes_of_grams():
+    for text in ("", "ab", "abcab", "abcababc漢字漢字🙂🙂"):
+        for size in (1, 2, 3, 7):
+            codes = R.gram_codes("zh", text, size)
+            assert len(codes) == len(grams_of_plain(text, size)) and (codes[1:] > codes[:-1]).all()
+    assert not set(R.gram_codes("zh", "abcdef", 2)) & set(R.gram_codes("law", "abcdef", 2))
+    assert set(R.gram_codes("", "xabcx", 3)) & set(R.gram_codes("", "abc", 3)) and not set(R.gram_codes("", "ab", 3)) & set(R.gram_codes("", "ab", 1))
+
+
+def grams_of_plain(text, size):
+    if 0 < len(text) < size:
+        return {text}
+    return {text[i : i + size] for i in range(len(text) - size + 1)}
+
+
+@pytest.mark.parametrize("chunk", [1, 7, 10**6])
+def test_grams_are_counted_in_chunks(chunk):
+    import pyarrow as pa
+
+    texts = [("x", "abab"), ("y", "abab"), ("x", ""), ("x", "abcab"), ("y", "q")]
+    batches = [pa.RecordBatch.from_pydict({"of": list(o), "a": list(t)}) for o, t in (zip(*texts[:2]), zip(*texts[2:]))]
+    got = Counter()
+    for batch in R._count_grams(2, chunk)(iter(batches)):
+        for r in batch.to_pylist():
+            got[r["of"], r["band"], r["code"]] += r["n"]
+    wanted = Counter()
+    for of, text in texts:
+        codes = R.gram_codes(of, text, 2).tolist()
+        wanted.update((of, len(codes).bit_length() - 1, c) for c in [None, *codes])
+    assert got == wanted
