@@ -67,13 +67,17 @@ def fingerprint(text: str) -> int:
     return int.from_bytes(np.packbits(2 * ones > n).tobytes(), "big")
 
 
+def signed_fingerprint(text: str) -> int:
+    """The fingerprint as a signed long."""
+    return _signed(fingerprint(text))
+
+
 def fingerprints(df: DataFrame, key: str, text: str) -> DataFrame:
     """``key`` and ``fp``, the fingerprint as a signed long."""
 
     def rows(batches: Iterator[dict]) -> Iterator[list[tuple]]:
         for batch in batches:
-            found = ((k, fingerprint(t)) for k, t in zip(batch["key"], batch["text"]))
-            yield [(k, fp - (1 << BITS) if fp >> (BITS - 1) else fp) for k, fp in found]
+            yield [(k, signed_fingerprint(t)) for k, t in zip(batch["key"], batch["text"])]
 
     kind = df.schema[key].dataType.simpleString()
     read = df.select(df[key].alias("key"), filled(df[text]).alias("text"))
@@ -288,7 +292,15 @@ def near_groups(
 ) -> DataFrame:
     """Per row: ``key``, ``fingerprint`` (16 hex digits) and ``component_id``, the smallest
     key reachable over links of fingerprints that differ in at most ``threshold`` bits."""
-    found = write_stage(fingerprints(df, key, text), "fingerprints")
+    return fingerprint_groups(
+        write_stage(fingerprints(df, key, text), "fingerprints"), threshold, trees, leaf_rows
+    ).withColumnRenamed("key", key)
+
+
+def fingerprint_groups(
+    found: DataFrame, threshold: int = THRESHOLD, trees: int | None = None, leaf_rows: int = LEAF_ROWS
+) -> DataFrame:
+    """``near_groups`` of written rows of ``key`` and ``fp``."""
     points = write_stage(found.groupBy("fp").agg(F.min("key").alias("first")), "points")
     labels = components(links(points.select("fp"), threshold, trees, leaf_rows))
     classes = points.join(labels.withColumnRenamed("node", "fp"), "fp", "left").select(
@@ -297,7 +309,7 @@ def near_groups(
     least = classes.groupBy("label").agg(F.min("first").alias("component_id"))
     named = classes.join(least, "label").select("fp", "component_id")
     return found.join(named, "fp").select(
-        F.col("key").alias(key),
+        "key",
         F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
         "component_id",
     )

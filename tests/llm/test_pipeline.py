@@ -4,11 +4,12 @@ import os
 from collections import Counter
 
 import duckdb
+import numpy as np
 import pytest
 
 import __spark_entry__ as contract
 import corpus_pipeline
-from sftpipe.llm import exact_names, quality_eb, queries
+from sftpipe.llm import exact_names, near_jaccard, quality_eb, queries, simhash_vp
 from sftpipe.session import write_stage
 from test_near_jaccard import classes
 
@@ -70,3 +71,22 @@ def test_every_query_runs(spark):
         if name != "pipeline":
             assert contract.queries()[name](spark, SF_DIR).limit(1).count() == 1
     assert exact_names.BLOCK_BYTES == 4096
+
+
+@pytest.mark.parametrize("sketches", [True, False])
+def test_near_copies_by_op1_as_well(spark, monkeypatch, sketches):
+    """The stage runs op1 over all texts: what its fingerprints link is compared, whatever sketches find."""
+    words = [f"w{i * i % 997}" for i in range(3000)]
+    text = lambda changed: " ".join([*words[:changed], "other", *words[changed + 1 :]])
+    # A passage that repeats rules the fingerprint and is little of the set of shingles.
+    unlike = [" ".join([f"p{i}" for i in range(13)] * 400 + [f"{c}{i}" for i in range(40)]) for c in "ab"]
+    rows = [(1, text(50)), (2, text(1500)), (3, " ".join(words[:700])), (4, unlike[0]), (5, unlike[1]), (None, text(50)), (6, None)]
+    for a, b in ((0, 1), (3, 4)):
+        bits = simhash_vp.fingerprint(rows[a][1]) ^ simhash_vp.fingerprint(rows[b][1])
+        assert bits.bit_count() <= simhash_vp.THRESHOLD
+    assert classes([t or "" for _, t in rows]) == [0, 0, 2, 3, 4, 0, 6]
+    if not sketches:
+        monkeypatch.setattr(near_jaccard, "bucket_roots", lambda sigs: np.arange(len(sigs)))
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    kept = corpus_pipeline.drop_near_copies(spark, docs, SF_DIR).collect()
+    assert Counter(r.doc_id for r in kept) == Counter([1, 3, 4, 5, None, 6])
