@@ -161,6 +161,22 @@ def test_second_pass_reads_what_the_first_wrote(spark, tmp_path):
     assert [r.left for r in found.collect()] == [0]
 
 
+def test_replaced_texts_are_read_once_more(spark, tmp_path):
+    from sftpipe.plans import cleaning_checks as C
+
+    for name, texts in (("some", ["call 139 1234 5678", None, "", "x\x01y", ""]), ("none", [None, None])):
+        path = f"{tmp_path}/{name}"
+        rows = [(i // 2, t) for i, t in enumerate(texts)]  # ids repeat
+        spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{path}/documents.parquet")
+        left = C.identifiers_left(spark, path)
+        plan = left._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Relation") == 1 and "Join" not in plan
+        assert left.dtypes == [("texts", "bigint"), ("chars", "bigint"), ("left", "bigint")]
+        once = [r.text for r in D.deidentify(C._personal(spark, path), ["text"], C.SECRET).collect()]
+        sizes = [len(t) for t in once if t is not None]
+        assert [tuple(r) for r in left.collect()] == [(len(sizes), sum(sizes) if sizes else None, 0)]
+
+
 def test_boundary_and_at_sign(spark):
     texts = ["x13912345678 13912345678x", "a.b@c@mail.example.com", "(743) 555-1234 +8613912345678", "a" * 70 + "@x.org"]
     cases = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "k long, text string")
