@@ -24,19 +24,21 @@ def new_records(found: DataFrame, stored: DataFrame) -> DataFrame:
     found by hashing; a small batch is broadcast to the store, which is only scanned, and
     its text does not move.
     """
-    hashed = found.filter("question != '' AND answer != ''").withColumn(
-        "content_hash", ingest_fingerprint("question", "answer")
-    )
+    fingerprint = ingest_fingerprint("question", "answer")
     # One number in (page_key, position) order, with room for both whole ranges.
     place = F.col("page_key").cast("decimal(20,0)") * F.lit(1 << 32).cast("decimal(11,0)")
-    placed = hashed.withColumn("place", (place + F.col("position")).cast("decimal(38,0)"))
-    narrow = placed.select(F.unhex("content_hash").alias("digest"), "place")
+    whole = found.filter("question != '' AND answer != ''")
+    placed = whole.withColumn("place", (place + F.col("position")).cast("decimal(38,0)"))
+    narrow = placed.select(F.unhex(fingerprint).alias("digest"), "place")
     firsts, rows = write_counted(narrow.groupBy("digest").agg(F.min("place").alias("place")), "firsts")
     known = stored.select(F.unhex("content_hash").alias("digest"))
     if rows <= BROADCAST_ROWS:
         known = F.broadcast(met_in(known, firsts.select("digest"), "digest"))
-    fresh, fresh_rows = write_counted(firsts.join(known, "digest", "left_anti").select("place"), "fresh")
-    return with_keys(placed, fresh, "place", fresh_rows).drop("place")
+    fresh = firsts.join(known, "digest", "left_anti").select("place")
+    if rows > BROADCAST_ROWS:  # fewer are broadcast in any case, so they need no count of their own
+        fresh, rows = write_counted(fresh, "fresh")
+    # Only what is kept is hashed again.
+    return with_keys(placed, fresh, "place", rows).drop("place").withColumn("content_hash", fingerprint)
 
 
 def page_outcomes(parsed: DataFrame) -> DataFrame:

@@ -79,7 +79,7 @@ def not_seen(
         return keyed.join(F.broadcast(done), "_digest", "left_anti").drop("_digest")
     narrow, batch = write_counted(df.select(key, digest), "batch-digests")
     if batch <= broadcast_rows:
-        met = met_in(done, narrow.select("_digest"), "_digest")
+        met = met_in(done, narrow.select("_digest").distinct(), "_digest")
         keyed = df.select("*", digest)
         return keyed.join(F.broadcast(met), "_digest", "left_anti").drop("_digest")
     open_rows = join_hot(narrow, done.distinct(), "_digest", "left_anti", batch)
@@ -88,11 +88,12 @@ def not_seen(
 
 
 def met_in(store: DataFrame, few: DataFrame, on: str) -> DataFrame:
-    """The values of ``few``, counted by the caller to fit a broadcast, that ``store`` has.
+    """The values of ``few``, distinct and counted by the caller to fit a broadcast, that
+    ``store`` has.
 
     The store is only scanned; what it sends on are values of ``few``.
     """
-    hits = store.select(on).join(F.broadcast(few.distinct()), on, "left_semi")
+    hits = store.select(on).join(F.broadcast(few), on, "left_semi")
     return write_stage(hits.distinct(), "met")
 
 

@@ -1,7 +1,9 @@
 from datetime import datetime
+from hashlib import sha1
 
 import pytest
 
+from sftpipe.operators import ingest, joins
 from sftpipe.operators.ingest import unseen_pages
 from sftpipe.operators.pages import SITES, Pick, Site, book_rows, page_records, parse_books, parse_pages
 from sftpipe.plans.ingest import ingest_pages, runs
@@ -98,6 +100,29 @@ def test_unseen_pages(spark):
     assert sorted(r.page_key for r in todo.collect()) == [2, 3, 5]
 
 
+@pytest.mark.parametrize("limit, stages", [(joins.BROADCAST_ROWS, ["firsts"]), (0, ["firsts", "fresh"])])
+def test_new_records_read_no_more_than_they_need(spark, monkeypatch, limit, stages):
+    found = [
+        (1, 0, "a", "b"), (1, 1, "c", "d"), (2, 0, "ab", ""), (2, 1, "a", "b"), (4, 0, None, "x"), (5, 0, " c", "d "),
+        (3, 0, "s", "t"), (3, 0, "s2", "t"), (None, 0, "n", "n"), (6, 0, "s", "t"), (1, 0, "a", "b"),
+    ]
+    hashed = lambda *pair: sha1("".join(pair).encode()).hexdigest()
+    stored = spark.createDataFrame([(hashed("s", "t"),), (hashed("s", "t"),), (None,)], "content_hash string")
+    written, plans, write, stage = [], [], ingest.write_counted, joins.write_stage
+    monkeypatch.setattr(ingest, "BROADCAST_ROWS", limit)
+    monkeypatch.setattr(ingest, "write_counted", lambda *a: written.append(a[1]) or write(*a))
+    monkeypatch.setattr(joins, "write_stage", lambda *a: plans.append(plan(a[0])) or stage(*a))
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    fresh = ingest.new_records(spark.createDataFrame(found, "page_key long, position int, question string, answer string"), stored)
+    assert written == stages
+    # A place that two texts share is kept or dropped whole; rows without a place are dropped.
+    kept = [(1, 0, "a", "b"), (1, 0, "a", "b"), (1, 1, "c", "d"), (3, 0, "s", "t"), (3, 0, "s2", "t")]
+    assert sorted(map(tuple, fresh.collect())) == [(*row, hashed(*row[2:])) for row in kept]
+    assert plan(fresh).index("sha1") < plan(fresh).index("Join LeftSemi")  # hashed after the join
+    assert [p.count("Aggregate") for p in plans] == [1] * (limit > 0)
+    assert ingest.new_records(fresh.limit(0), stored).columns == ["page_key", "position", "question", "answer", "content_hash"]
+
+
 def snapshot(spark, root):
     return {
         "records": sorted(
