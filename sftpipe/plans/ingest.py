@@ -17,7 +17,7 @@ from sftpipe.operators.ingest import (
 )
 from sftpipe.operators.pages import check_site, page_records, parse_pages
 from sftpipe.operators.split import head
-from sftpipe.session import spread, write_counted, write_stage
+from sftpipe.session import spread, write_counted
 from sftpipe.sources.tables import append_table, earliest, read_table, records
 
 
@@ -42,12 +42,16 @@ def ingest_pages(
     spark = pages.sparkSession
     at = F.lit(now or datetime.now())
     todo = unseen_pages(head(pages, "page_key", limit), read_table(spark, root, "visited"))
-    digest = F.sum(F.xxhash64("page_key", "url").cast("decimal(38,0)"))
-    parsed, batch = write_counted(parse_pages(spread(todo, "page_key"), site), "parsed-pages", digest)
+    counted = F.struct(
+        F.sum(F.xxhash64("page_key", "url").cast("decimal(38,0)")).alias("digest"),
+        F.count_if("ok").alias("ok"),
+        F.count_if(~F.col("ok")).alias("dead"),
+    )
+    parsed, batch = write_counted(parse_pages(spread(todo, "page_key"), site), "parsed-pages", counted)
     if run is None:
-        run = f"batch-{int(batch) % (1 << 64):x}" if batch else f"empty-{uuid.uuid4().hex}"
-    fresh = write_stage(new_records(page_records(parsed), records(spark, root)), "new-records")
-    summary = write_stage(run_summary(parsed, fresh), "run-summary")
+        run = f"batch-{int(batch.digest) % (1 << 64):x}" if batch.digest else f"empty-{uuid.uuid4().hex}"
+    fresh, rows = write_counted(new_records(page_records(parsed), records(spark, root)), "new-records")
+    summary = run_summary(parsed, fresh, (batch.ok, batch.dead, rows))
 
     columns = ("content_hash", "question", "answer", "source", "url")
     append_table(fresh.select(*columns, at.alias("created_at")), root, "records")

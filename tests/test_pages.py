@@ -168,6 +168,23 @@ def test_compaction_keeps_what_the_tables_say(spark, tmp_path):
     tables.compact(spark, str(tmp_path / "none"), "visited")
 
 
+def test_summary_is_counted_while_pages_and_records_are_written(spark, tmp_path):
+    root = str(tmp_path / "store")
+    # A key comes twice, a url and a text are null, two texts are equal.
+    rows = [*PAGES, (1, "u1", PAGES[0][2]), (7, None, quote("q") + quote(None)), (8, None, quote("q"))]
+    for batch, want in ((rows, (5, 3, 6)), ([(9, "u9", None)], (0, 1, 0)), ([], (0, 0, 0))):
+        summary = ingest_pages(df(spark, batch), root, "quotes")
+        assert "parquet" not in summary._jdf.queryExecution().optimizedPlan().toString().lower()
+        assert summary.dtypes == [(n, "bigint") for n in ("ok_pages", "dead_pages", "new_records")]
+        assert [tuple(r) for r in summary.collect()] == [want]
+    stored = sorted((r.ok_pages, r.dead_pages, r.new_records) for r in runs(spark, root).collect())
+    assert stored == [(0, 0, 0), (0, 1, 0), (5, 3, 6)]
+    parsed = parse_pages(df(spark, rows), "quotes")
+    found = page_records(parsed)
+    read = ingest.run_summary(parsed, ingest.new_records(found, tables.records(spark, str(tmp_path / "none")))).first()
+    assert tuple(read) == tuple(ingest.run_summary(parsed, found, (5, 3, 6)).first())
+
+
 def test_ingest_limit_and_restart_after_lost_visited(spark, tmp_path):
     root = str(tmp_path / "store")
     assert tuple(ingest_pages(df(spark), root, "quotes", limit=2).first()) == (2, 0, 2)
